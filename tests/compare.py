@@ -1,0 +1,64 @@
+"""Run a query in Spark and its oracle in DuckDB and compare them row by row."""
+
+from __future__ import annotations
+
+import glob
+import os
+from collections import Counter
+from datetime import datetime
+from decimal import Decimal
+
+import duckdb
+from pyspark.sql import SparkSession
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def _cell(value):
+    if isinstance(value, datetime):
+        return value.isoformat()
+    if isinstance(value, bool):
+        return str(value)
+    if isinstance(value, (int, Decimal)):
+        return str(Decimal(value).normalize())
+    return None if value is None else str(value)
+
+
+def _counted(names, rows) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+_KINDS = {
+    "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "int": "INTEGER",
+    "bigint": "BIGINT", "decimal(23,2)": "DECIMAL(23,2)",
+}
+
+
+def differences(spark: SparkSession, con, name: str, build, sql: str, folder: str) -> dict:
+    """Row counts, column types that differ, and rows on one side only."""
+    frame = build(spark, folder)
+    found = _counted(frame.columns, [tuple(r) for r in frame.collect()])
+    relation = con.sql(sql)
+    wanted_types = {n: str(t) for n, t in zip(relation.columns, relation.types)}
+    wanted = _counted(relation.columns, relation.fetchall())
+    kinds = {n: _KINDS.get(t, t) for n, t in frame.dtypes}
+    return {
+        "name": name,
+        "rows": sum(found.values()),
+        "oracle_rows": sum(wanted.values()),
+        "types": {
+            n: (kinds.get(n), wanted_types.get(n))
+            for n in sorted(set(kinds) | set(wanted_types))
+            if kinds.get(n) != wanted_types.get(n)
+        },
+        "only_spark": list((found - wanted).items())[:3],
+        "only_oracle": list((wanted - found).items())[:3],
+    }
