@@ -51,6 +51,15 @@ REVERSAL_PATTERN = (
 )
 SUBJECT_PATTERN = r"stop[\s-]?work|terminat\w*|suspension"
 
+# --- fixed values: substrings without which a pattern cannot match ------------
+# Each is free of the letters i, s and k: those have Unicode case variants that the
+# patterns accept and lower-casing leaves alone.
+TERMINATION_STEMS = ("term", "t4c", "top", "legal")
+CAUSE_STEMS = ("term",)
+DESCOPE_STEMS = ("cop", "term")
+VACATUR_STEMS = ("vacat",)
+SUBJECT_STEMS = ("term", "top", "uspen")
+
 # --- fixed values: phrases of the keyword sweep -------------------------------
 SWEEP_PHRASES = (
     "terminate for convenience",

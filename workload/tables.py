@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -277,8 +278,12 @@ CLAIM_ITEMS = f"""
 PAGE_SIZE = 500
 
 
+#: Folders of landed tables, by application, source folder and table.
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
-    """The driver tables of one folder, and the frames derived from them."""
+    """The driver tables of one folder, and the tables landed from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -292,23 +297,46 @@ class Tables:
         used = {n: self.read(n) for n in names if "{" + n + "}" in sql}
         return self.spark.sql(sql, **used)
 
+    def land(self, name: str, sql: str) -> DataFrame:
+        """A derived table as the operators meet it: written once per session, then read.
+
+        It is landed again when its folder is gone.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key in _LANDED:
+            try:
+                return self.spark.read.parquet(_LANDED[key])
+            except AnalysisException:
+                del _LANDED[key]
+        path = Staging(self.spark).path(name)
+        # The driver's tables are single files; a landed ledger is not.
+        slices = self.spark.sparkContext.defaultParallelism
+        self.derive(sql).repartition(slices).write.parquet(path)
+        _LANDED[key] = path
+        return self.spark.read.parquet(path)
+
     def ledger(self) -> DataFrame:
-        return self.derive(EVENTS_LEDGER)
+        return self.land("ledger", EVENTS_LEDGER)
 
     def rollup(self) -> DataFrame:
-        return self.derive(EVENTS_ROLLUP)
+        return self.land("rollup", EVENTS_ROLLUP)
 
     def lines_ledger(self) -> DataFrame:
-        return self.derive(LINES_LEDGER)
+        return self.land("lines_ledger", LINES_LEDGER)
 
     def lines_rollup(self) -> DataFrame:
-        return self.derive(LINES_ROLLUP)
+        return self.land("lines_rollup", LINES_ROLLUP)
 
     def raw_overrides(self) -> DataFrame:
         return self.derive(RAW_OVERRIDES)
 
     def claim_items(self) -> DataFrame:
-        return self.derive(CLAIM_ITEMS)
+        return self.land("claim_items", CLAIM_ITEMS)
+
+    def land_all(self) -> None:
+        """Land every derived table."""
+        for land in (self.ledger, self.rollup, self.lines_ledger, self.lines_rollup, self.claim_items):
+            land()
 
     def _pages(self, items: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
         """Claim items as page documents of at most `PAGE_SIZE` items, by order key."""
