@@ -29,8 +29,13 @@ def strip(c: ColumnLike) -> Column:
 
 
 def collapse_ws(c: ColumnLike) -> Column:
-    """Each run of whitespace as one space, trimmed: one line per cell."""
-    return F.regexp_replace(strip(c), f"[{V.WHITESPACE}]+", " ")
+    """Each run of whitespace as one space, trimmed: one line per cell.
+
+    A single space is left alone, so ordinary text has few replacements.
+    """
+    space = r"\s\x1c-\x1f"
+    runs = rf"(?U) [{space}]+|[{space}&&[^ ]][{space}]*"
+    return F.regexp_replace(strip(c), runs, " ")
 
 
 def code(c: ColumnLike) -> Column:

@@ -31,7 +31,7 @@ def history_order(*, extra: Sequence[str] = ()) -> Column:
     )
 
 
-def operative_event(
+def history_rows(
     events: DataFrame,
     keys: Sequence[str],
     *,
@@ -39,43 +39,45 @@ def operative_event(
     is_reset: Column,
     is_signal: Column,
     rank: Column,
-    salts: int = SALTS,
-    staging: Staging | None = None,
+    carry: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """At most one row per key: the signal that stands at the end of its history.
-
-    Read in `order`, a reset clears the anchor, and a signal anchors when nothing
-    stands or when its rank is strictly higher. That equals: of the signals after
-    the key's last reset, the highest rank, earliest first. A row that is both
-    counts as a reset.
-
-    Both steps are aggregations that combine before they shuffle, so no task holds a
-    key's history. The signals meet the last reset on (key, salt): a hot key is
-    spread over `salts` tasks, and because the grouping that follows is on the key
-    alone, adaptive execution may split a skewed slice further. Rows that are
-    neither reset nor signal cannot change the answer and are dropped first.
+    """The rows a verdict depends on: resets and signals, the event packed beside its place.
 
-    Two branches read the relevant rows; with `staging` they are written once.
+    A row that is both is a reset. `carry` keeps further rows: those for which any of
+    its columns is true, and the columns themselves.
     """
-    keys = list(keys)
-    names = events.columns
-    relevant = events.where(is_reset | is_signal).select(
+    kept = is_reset | is_signal
+    for flag in (carry or {}).values():
+        kept = kept | flag
+    return events.where(kept).select(
         *keys,
         order.alias("_order"),
         is_reset.alias("_reset"),
+        is_signal.alias("_signal"),
         rank.alias("_rank"),
-        F.struct(*names).alias("_row"),
+        *[flag.alias(name) for name, flag in (carry or {}).items()],
+        F.struct(*events.columns).alias("_row"),
     )
-    if staging is not None:
-        relevant = staging.table(relevant, "relevant")
 
-    last_reset = relevant.where("_reset").groupBy(*keys).agg(F.max("_order").alias("_cleared"))
+
+def standing_signal(
+    signals: DataFrame, resets: DataFrame, keys: Sequence[str], *, salts: int = SALTS
+) -> DataFrame:
+    """Per key, of the signals after the last reset, the highest rank, earliest first.
+
+    Both steps are aggregations that combine before they shuffle, so no task holds a
+    key's history. The signals meet the last reset on (key, salt): a hot key is
+    spread over `salts` tasks, and because the grouping that follows is on the key
+    alone, adaptive execution may split a skewed slice further.
+    """
+    keys = list(keys)
+    last_reset = resets.groupBy(*keys).agg(F.max("_order").alias("_cleared"))
     slices = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_reset = last_reset.withColumn("_salt", slices)
-    signals = relevant.where("NOT _reset").withColumn(
+    salted = signals.withColumn(
         "_salt", F.pmod(F.xxhash64("_order"), F.lit(salts)).cast("int")
     )
-    standing = signals.join(salted_reset, [*keys, "_salt"], "left").where(
+    standing = salted.join(salted_reset, [*keys, "_salt"], "left").where(
         F.col("_cleared").isNull() | (F.col("_order") > F.col("_cleared"))
     )
     strongest_first = F.struct((-F.col("_rank")).alias("rank"), "_order")
@@ -86,6 +88,34 @@ def operative_event(
     )
 
 
+def operative_event(
+    events: DataFrame,
+    keys: Sequence[str],
+    *,
+    order: Column,
+    is_reset: Column,
+    is_signal: Column,
+    rank: Column,
+    salts: int = SALTS,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """At most one row per key: the signal that stands at the end of its history.
+
+    Read in `order`, a reset clears the anchor, and a signal anchors when nothing
+    stands or when its rank is strictly higher. That equals: of the signals after
+    the key's last reset, the highest rank, earliest first. Rows that are neither
+    cannot change the answer and are dropped first.
+
+    Two branches read the relevant rows; with `staging` they are written once.
+    """
+    rows = history_rows(
+        events, keys, order=order, is_reset=is_reset, is_signal=is_signal, rank=rank
+    )
+    if staging is not None:
+        rows = staging.table(rows, "relevant")
+    return standing_signal(rows.where("NOT _reset"), rows.where("_reset"), keys, salts=salts)
+
+
 def accept_awards(
     txn: DataFrame,
     *,
@@ -120,17 +150,31 @@ def candidate_history(txn: DataFrame, award: str = "internal_award_id") -> DataF
     return txn.join(candidate_awards(txn, award), award, "left_semi")
 
 
-def relevant_history(txn: DataFrame, *, start: date, staging: Staging) -> DataFrame:
-    """The part of `candidate_history` a verdict can depend on, staged.
+def accept_candidates(
+    txn: DataFrame, *, start: date, salts: int = SALTS, staging: Staging
+) -> DataFrame:
+    """`accept_awards` over `candidate_history`, reading the ledger once.
 
-    Every signal is a candidate row itself; a reset counts only when its award has a
-    candidate. The ledger is read once, the narrow staged rows twice.
+    A signal is always a candidate row, so only the resets need the rejoin: one counts
+    when its internal award has a candidate. The few rows that matter are staged, and
+    both branches read those.
     """
-    kept = staging.table(
-        txn.where(P.is_candidate() | P.is_reset("description")), "candidates"
+    rows = staging.table(
+        history_rows(
+            txn,
+            ["award_key"],
+            order=history_order(),
+            is_reset=P.is_reset("description"),
+            is_signal=P.is_explicit_termination(start),
+            rank=P.anchor_rank(),
+            carry={"_candidate": P.is_candidate()},
+        ).withColumn("_award", F.col("_row.internal_award_id")),
+        "relevant",
     )
-    return kept.join(candidate_awards(kept), "internal_award_id", "left_semi").where(
-        P.is_explicit_termination(start) | P.is_reset("description")
+    candidates = rows.where("_candidate").select("_award").distinct()
+    resets = rows.where("_reset").join(candidates, "_award", "left_semi")
+    return standing_signal(
+        rows.where("_signal AND NOT _reset"), resets, ["award_key"], salts=salts
     )
 
 

@@ -22,9 +22,7 @@ def depth_verdicts(
 ) -> DataFrame:
     """Accepted actions of the whole ledger since `start`, without award facts."""
     scan = L.ledger_scan(ledger, start=start, end=end, agency_id=agency_id)
-    txn = L.normalise_ledger(scan)
-    relevant = adjudicate.relevant_history(txn, start=start, staging=staging)
-    return adjudicate.accept_awards(relevant, start=start, staging=staging)
+    return adjudicate.accept_candidates(L.normalise_ledger(scan), start=start, staging=staging)
 
 
 def depth_part(

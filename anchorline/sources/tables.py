@@ -58,7 +58,7 @@ def write_csv(df: DataFrame, path: str, schema: T.StructType, *, mode: str = "er
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.text(path).inputFiles())
     except AnalysisException as problem:
@@ -69,7 +69,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a published table by its declared schema; a missing or empty one has no rows."""
-    if not _exists(spark, os.fspath(path)):
+    if not path_exists(spark, os.fspath(path)):
         return spark.createDataFrame([], schema)
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (

@@ -109,7 +109,7 @@ def _(t: Tables) -> DataFrame:
     Q.with_(Q.CLAIM_ITEMS, Q.CLAIMS, select="SELECT * EXCLUDE (o_orderkey) FROM claims"),
 )
 def _(t: Tables) -> DataFrame:
-    return feed.claims_scan(*t.landed_claims(Staging(t.spark)))
+    return feed.claims_scan(*t.landed_claims())
 
 
 @query(
@@ -766,7 +766,7 @@ def _(t: Tables) -> DataFrame:
 def claims_with_key(t: Tables) -> DataFrame:
     """Every claim in scope with the order it comes from."""
     staging = Staging(t.spark)
-    claims = feed.claims_scan(*t.landed_claims(staging))
+    claims = feed.claims_scan(*t.landed_claims())
     # Every item's savings figure is its order key.
     return staging.table(
         claims.withColumn("position", F.col("doge_savings").cast("long")), "claims"
@@ -804,7 +804,7 @@ _CLAIM = ", ".join(Q.CLAIM_COLUMNS)
     ),
 )
 def _(t: Tables) -> DataFrame:
-    ids = feed.claims_scan(*t.landed_claims(Staging(t.spark))).select("doge_award_id").distinct()
+    ids = feed.claims_scan(*t.landed_claims()).select("doge_award_id").distinct()
     awards = C.award_facts(t.rollup()).join(ids, "doge_award_id", "left_semi")
     return C.claim_facts(t.ledger(), awards, start=START)
 

@@ -7,13 +7,14 @@ derivation reads its whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.sources import claims_feed as feed
+from anchorline.sources import tables as files
 from anchorline.sources.staging import Staging
 
 # Bounds for the events ledger, which spans 2024-01-01 to 2024-01-30.
@@ -292,51 +293,54 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A driver table, which is one file, spread over the session's cores."""
+        return self.read(name).repartition(self.spark.sparkContext.defaultParallelism)
+
     def derive(self, sql: str) -> DataFrame:
         names = "region nation customer supplier orders lineitem events documents pages".split()
-        used = {n: self.read(n) for n in names if "{" + n + "}" in sql}
-        return self.spark.sql(sql, **used)
+        return self.spark.sql(sql, **{n: self.spread(n) for n in names if "{" + n + "}" in sql})
 
-    def land(self, name: str, sql: str) -> DataFrame:
-        """A derived table as the operators meet it: written once per session, then read.
+    def land(self, name: str, build: Callable[[str], None]) -> str:
+        """The folder of a derived table, which `build` writes once per session.
 
-        It is landed again when its folder is gone.
+        It is written again when the folder is gone.
         """
         key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key in _LANDED:
-            try:
-                return self.spark.read.parquet(_LANDED[key])
-            except AnalysisException:
-                del _LANDED[key]
-        path = Staging(self.spark).path(name)
-        # The driver's tables are single files; a landed ledger is not.
-        slices = self.spark.sparkContext.defaultParallelism
-        self.derive(sql).repartition(slices).write.parquet(path)
-        _LANDED[key] = path
-        return self.spark.read.parquet(path)
+        path = _LANDED.get(key)
+        if path is None or not files.path_exists(self.spark, path):
+            path = _LANDED[key] = Staging(self.spark).path(name)
+            build(path)
+        return path
+
+    def table(self, name: str, sql: str) -> DataFrame:
+        """A derived table as the operators meet it: a folder of Parquet files."""
+        return self.spark.read.parquet(
+            self.land(name, lambda path: self.derive(sql).write.parquet(path))
+        )
 
     def ledger(self) -> DataFrame:
-        return self.land("ledger", EVENTS_LEDGER)
+        return self.table("ledger", EVENTS_LEDGER)
 
     def rollup(self) -> DataFrame:
-        return self.land("rollup", EVENTS_ROLLUP)
+        return self.table("rollup", EVENTS_ROLLUP)
 
     def lines_ledger(self) -> DataFrame:
-        return self.land("lines_ledger", LINES_LEDGER)
+        return self.table("lines_ledger", LINES_LEDGER)
 
     def lines_rollup(self) -> DataFrame:
-        return self.land("lines_rollup", LINES_ROLLUP)
+        return self.table("lines_rollup", LINES_ROLLUP)
 
     def raw_overrides(self) -> DataFrame:
         return self.derive(RAW_OVERRIDES)
 
     def claim_items(self) -> DataFrame:
-        return self.land("claim_items", CLAIM_ITEMS)
+        return self.table("claim_items", CLAIM_ITEMS)
 
     def land_all(self) -> None:
         """Land every derived table."""
-        for land in (self.ledger, self.rollup, self.lines_ledger, self.lines_rollup, self.claim_items):
-            land()
+        self.ledger(), self.rollup(), self.lines_ledger(), self.lines_rollup()
+        self.claim_items(), self.landed_claims()
 
     def _pages(self, items: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
         """Claim items as page documents of at most `PAGE_SIZE` items, by order key."""
@@ -345,7 +349,8 @@ class Tables:
             ((F.max("o_orderkey") / PAGE_SIZE).cast("int") + 1).alias("pages")
         )
         item = F.struct(*[F.expr(sql).alias(name) for name, sql in fields.items()])
-        return numbered.groupBy("page").agg(
+        slices = self.spark.sparkContext.defaultParallelism
+        return numbered.repartition(slices, "page").groupBy("page").agg(
             F.lit(True).alias("success"),
             F.first(F.struct(pages.scalar().alias("pages"))).alias("meta"),
             F.struct(F.collect_list(item).alias(key)).alias("result"),
@@ -373,13 +378,14 @@ class Tables:
         )
         return contracts, grants
 
-    def landed_claims(self, staging: Staging) -> tuple[DataFrame, DataFrame]:
-        """The page documents written as JSON lines and read back."""
-        frames = []
-        for pages, schema, name in zip(
-            self.claim_pages(), (feed.CONTRACT_PAGE, feed.GRANT_PAGE), ("contracts", "grants")
-        ):
-            path = staging.path(name)
-            pages.write.json(path)
-            frames.append(feed.read_pages(self.spark, path, schema))
-        return frames[0], frames[1]
+    def landed_claims(self) -> tuple[DataFrame, DataFrame]:
+        """The page documents as landed: JSON lines."""
+        contracts, grants = self.claim_pages()
+        landed = {
+            name: self.land(name, pages.write.json)
+            for name, pages in (("contracts", contracts), ("grants", grants))
+        }
+        return (
+            feed.read_pages(self.spark, landed["contracts"], feed.CONTRACT_PAGE),
+            feed.read_pages(self.spark, landed["grants"], feed.GRANT_PAGE),
+        )
