@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
+from anchorline.operators.skew import SALTS, salted_join
 from anchorline.schemas import TERMINATION, conform
 from anchorline.sources.staging import Staging
 
-#: Slices a key's signals are spread over while they meet the key's last reset.
-SALTS = 16
-
 
 def history_order(*, extra: Sequence[str] = ()) -> Column:
     """The total order of an award's history: day, order key, then arrival.
@@ -65,21 +63,14 @@ def standing_signal(
 ) -> DataFrame:
     """Per key, of the signals after the last reset, the highest rank, earliest first.
 
-    Both steps are aggregations that combine before they shuffle, so no task holds a
-    key's history. The signals meet the last reset on (key, salt): a hot key is
-    spread over `salts` tasks, and because the grouping that follows is on the key
-    alone, adaptive execution may split a skewed slice further.
+    Both steps are aggregations that combine before they shuffle, and the signals meet
+    the last reset in a salted join: no task holds a key's history.
     """
     keys = list(keys)
     last_reset = resets.groupBy(*keys).agg(F.max("_order").alias("_cleared"))
-    slices = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_reset = last_reset.withColumn("_salt", slices)
-    salted = signals.withColumn(
-        "_salt", F.pmod(F.xxhash64("_order"), F.lit(salts)).cast("int")
-    )
-    standing = salted.join(salted_reset, [*keys, "_salt"], "left").where(
-        F.col("_cleared").isNull() | (F.col("_order") > F.col("_cleared"))
-    )
+    standing = salted_join(
+        signals, last_reset, keys, "left", spread=F.col("_order"), salts=salts
+    ).where(F.col("_cleared").isNull() | (F.col("_order") > F.col("_cleared")))
     strongest_first = F.struct((-F.col("_rank")).alias("rank"), "_order")
     return (
         standing.groupBy(*keys)
@@ -147,7 +138,9 @@ def candidate_awards(txn: DataFrame, award: str = "internal_award_id") -> DataFr
 
 def candidate_history(txn: DataFrame, award: str = "internal_award_id") -> DataFrame:
     """Every row of every award that has at least one candidate row."""
-    return txn.join(candidate_awards(txn, award), award, "left_semi")
+    return salted_join(
+        txn, candidate_awards(txn, award), [award], "left_semi", spread=F.col("ingest_seq")
+    )
 
 
 def accept_candidates(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
+from anchorline.operators.skew import salted_join
 from anchorline.schemas import CLAIM, conform
 from anchorline.sources.ledger import rollup_facts
 
@@ -45,12 +46,10 @@ def claim_facts(ledger: DataFrame, awards: DataFrame, *, start: date) -> DataFra
     first to arrive on ties; its code is reported as it came. `awards` limits the
     ledger to the awards asked about and supplies their type.
     """
-    rows = ledger.join(
-        awards.select(
-            F.col("internal_award_id").alias("award_id"), F.col("award_type").alias("asked_type")
-        ),
-        "award_id",
-    ).select(
+    asked = awards.select(
+        F.col("internal_award_id").alias("award_id"), F.col("award_type").alias("asked_type")
+    )
+    rows = salted_join(ledger, asked, ["award_id"], "inner", spread=F.col("ingest_seq")).select(
         "award_id",
         "action_date",
         S.blank("action_type").alias("action_type"),

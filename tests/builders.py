@@ -1,0 +1,106 @@
+"""Small frames for the operator tests."""
+
+from __future__ import annotations
+
+from datetime import date
+from decimal import Decimal
+
+from pyspark.sql import types as T
+
+from anchorline.schemas import CLAIM, LEDGER, ROLLUP, TERMINATION, TXN
+
+START = date(2025, 1, 20)
+LATE = date(2026, 8, 20)
+
+
+def day(text: str | None) -> date | None:
+    return date.fromisoformat(text) if text else None
+
+
+def _frame(spark, schema: T.StructType, rows: list[dict]):
+    for row in rows:
+        unknown = set(row) - set(schema.names)
+        assert not unknown, unknown
+    return spark.createDataFrame(
+        [tuple(row.get(name) for name in schema.names) for row in rows], schema
+    )
+
+
+def txn(number, when, *, code="", text="", key="K1", kind="contract", order="", native=None, **more):
+    place = ("", "", "", "", "", "")
+    return {
+        "award_key": key, "award_id": native if native is not None else key,
+        "generated_award_id": "" if key.startswith("PIID:") else key, "award_type": kind,
+        "recipient_name": "Orbit Ltd", "action_date": day(when), "action_type": code,
+        "modification_number": "", "description": text, "award_description": "",
+        "recipient_location": place, "pop_location": place, "award_type_code": "",
+        "source": "mirror", "sort_key": order, "ingest_seq": number, **more,
+    }
+
+
+def txns(spark, rows):
+    return _frame(spark, TXN, rows)
+
+
+def row(key, *, source, when="2025-06-01", native=None, kind="contract", **more):
+    return {
+        "award_key": key, "award_id": native if native is not None else key,
+        "generated_award_id": "" if key.startswith("PIID:") else key, "award_type": kind,
+        "award_type_code": "", "recipient_name": "Orbit Ltd", "action_date": day(when),
+        "action_type": "F", "modification_number": "P3", "transaction_amount": Decimal("-1000.00"),
+        "transaction_description": "ended for convenience of the buyer", "award_description": "",
+        **{n: "" for n in TERMINATION.names if n.startswith(("recipient_", "pop_")) and n != "recipient_name"},
+        "detected_by": "both", "sources": source, "override_status": "", **more,
+    }
+
+
+def rows(spark, values):
+    return _frame(spark, TERMINATION, values)
+
+
+def ledger(spark, values):
+    return _frame(spark, LEDGER, values)
+
+
+def action(number, when, *, award=1, piid="A1", generated="CONT_AWD_A1", code="", text="", **more):
+    return {
+        "award_id": award, "piid": piid, "generated_unique_award_id": generated,
+        "transaction_unique_id": f"T{number:04}", "is_fpds": True, "type": "A",
+        "action_date": day(when), "action_type": code, "modification_number": str(number),
+        "transaction_description": text, "recipient_name": "Orbit Ltd",
+        "awarding_agency_id": 862, "ingest_seq": number, **more,
+    }
+
+
+def rollup(spark, values):
+    return _frame(spark, ROLLUP, values)
+
+
+def award(number, *, piid="A1", generated="CONT_AWD_A1", **more):
+    return {
+        "award_id": number, "piid": piid, "generated_unique_award_id": generated, "is_fpds": True,
+        "type": "A", "category": "contract", "awarding_agency_id": 862, "description": "relay",
+        **more,
+    }
+
+
+def claims(spark, values):
+    return _frame(spark, CLAIM, values)
+
+
+def claim(native="A1", when="2025-03-04", **more):
+    return {
+        **{f.name: "" for f in CLAIM.fields if f.dataType == T.StringType()},
+        **{f.name: False for f in CLAIM.fields if f.dataType == T.BooleanType()},
+        "claim_type": "contract", "doge_award_id": native, "recipient": "Orbit Ltd",
+        "doge_claim_date": day(when), **more,
+    }
+
+
+CLAIM_SIDE = CLAIM.names[:8]
+
+
+def values(df, *columns):
+    """The rows as tuples, sorted."""
+    picked = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in picked.collect()), key=str)

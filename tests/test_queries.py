@@ -1,0 +1,50 @@
+"""Every registered query against its SQL oracle, and the shape of every plan."""
+
+import re
+
+import pytest
+from compare import connect, differences
+
+from __spark_entry__ import entry, oracle_sql, queries
+from conftest import SMALL
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    con = connect(SMALL)
+    yield con
+    con.close()
+
+
+@pytest.mark.parametrize("name", list(queries()))
+def test_query_matches_its_oracle(spark, oracle, name):
+    found = differences(spark, oracle, name, queries()[name], oracle_sql()[name], SMALL)
+    assert not found["types"]
+    assert not found["only_spark"] and not found["only_oracle"], found
+    assert found["rows"] == found["oracle_rows"]
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry_gives_rows(spark):
+    frame = entry(spark)
+    assert frame.count() > 0
+
+
+FORBIDDEN = re.compile(
+    r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEvalPython|BatchEvalPython|"
+    r"MapInPandas|^\W*Window\b",
+    re.MULTILINE,
+)
+
+
+@pytest.mark.parametrize(
+    "name",
+    "candidate_history operative_event adjudicated enrich_rollup followup_rejudge pullbacks "
+    "fiscal_year_counts merge_parts apply_overrides claim_facts claims_enriched".split(),
+)
+def test_plans_have_no_cross_joins_windows_or_python(spark, name):
+    plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not FORBIDDEN.search(plan), plan
