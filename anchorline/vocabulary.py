@@ -58,7 +58,7 @@ TERMINATION_STEMS = ("term", "t4c", "top", "legal")
 CAUSE_STEMS = ("term",)
 DESCOPE_STEMS = ("cop", "term")
 VACATUR_STEMS = ("vacat",)
-SUBJECT_STEMS = ("term", "top", "uspen")
+SUBJECT_STEMS = ("term", "top", "pen")
 
 # --- fixed values: phrases of the keyword sweep -------------------------------
 SWEEP_PHRASES = (
