@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from anchorline import vocabulary as V
-from anchorline.functions.scalars import ColumnLike, _c, blank, code, strip
+from anchorline.functions.scalars import ColumnLike, _c, blank, strip
 
 
 def _holds_any(text: ColumnLike, pieces: tuple[str, ...]) -> Column:
@@ -55,15 +55,19 @@ def is_reversal(text: ColumnLike) -> Column:
     return _has_subject(text) & _matches(text, V.REVERSAL_PATTERN)
 
 
+def _is_vacated(text: ColumnLike) -> Column:
+    return _holds_any(text, V.VACATUR_STEMS) & _matches(text, V.VACATUR_PATTERN)
+
+
 def is_vacatur(text: ColumnLike) -> Column:
     """A vacating word, or "set aside" beside a termination subject."""
-    vacated = _holds_any(text, V.VACATUR_STEMS) & _matches(text, V.VACATUR_PATTERN)
-    return vacated | (_has_subject(text) & _matches(text, V.SET_ASIDE_PATTERN))
+    return _is_vacated(text) | (_has_subject(text) & _matches(text, V.SET_ASIDE_PATTERN))
 
 
 def is_reset(text: ColumnLike) -> Column:
-    """The row clears whatever stood before it. Resets count at any date."""
-    return is_reversal(text) | is_vacatur(text)
+    """A reversal or a vacatur: the row clears whatever stood before it, at any date."""
+    undone = _matches(text, V.REVERSAL_PATTERN) | _matches(text, V.SET_ASIDE_PATTERN)
+    return (_has_subject(text) & undone) | _is_vacated(text)
 
 
 def in_window(day: ColumnLike, start: date) -> Column:
@@ -72,7 +76,8 @@ def in_window(day: ColumnLike, start: date) -> Column:
 
 
 def _coded(award_type: ColumnLike, action_type: ColumnLike, codes: tuple[str, ...]) -> Column:
-    return _c(award_type).isin(*V.CODED_AWARD_TYPES) & F.upper(blank(action_type)).isin(*codes)
+    # The code decides for most rows, so it is looked at first.
+    return F.upper(blank(action_type)).isin(*codes) & _c(award_type).isin(*V.CODED_AWARD_TYPES)
 
 
 def has_termination_code(
@@ -137,12 +142,28 @@ def is_candidate(
 ) -> Column:
     """The prefilter: a superset of `is_explicit_termination` that knows no award type.
 
-    The code is normalised first, so a lower-case code is in the net too.
+    It reads normalised actions, so a code that arrived in lower case is in the net too.
     """
-    coded = F.coalesce(_c(is_fpds), F.lit(False)) & code(action_type).isin(*V.TERMINATION_CODES)
+    coded = F.coalesce(_c(is_fpds), F.lit(False)) & F.upper(blank(action_type)).isin(
+        *V.TERMINATION_CODES
+    )
     return coded | is_termination(text) | is_cause(text)
 
 
+def may_matter(
+    action_type: ColumnLike = "action_type", text: ColumnLike = "description"
+) -> Column:
+    """A termination code, or any substring some pattern needs.
+
+    Rows without either are neither candidates nor resets. One look at the text settles
+    that for most rows of a ledger.
+    """
+    stems = dict.fromkeys(
+        V.TERMINATION_STEMS + V.CAUSE_STEMS + V.SUBJECT_STEMS + V.VACATUR_STEMS
+    )
+    return F.upper(blank(action_type)).isin(*V.TERMINATION_CODES) | _holds_any(text, tuple(stems))
+
+
 def matches_sweep_phrase(text: ColumnLike = "description") -> Column:
     """Any sweep phrase, as a plain case-insensitive substring."""
     return _holds_any(text, V.SWEEP_PHRASES)

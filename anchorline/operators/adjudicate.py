@@ -37,23 +37,20 @@ def history_rows(
     is_reset: Column,
     is_signal: Column,
     rank: Column,
-    carry: dict[str, Column] | None = None,
+    keep: Column | None = None,
+    **carry: Column,
 ) -> DataFrame:
     """The rows a verdict depends on: resets and signals, the event packed beside its place.
 
-    A row that is both is a reset. `carry` keeps further rows: those for which any of
-    its columns is true, and the columns themselves.
+    `keep` replaces that filter. `carry` names further columns.
     """
-    kept = is_reset | is_signal
-    for flag in (carry or {}).values():
-        kept = kept | flag
-    return events.where(kept).select(
+    return events.where(is_reset | is_signal if keep is None else keep).select(
         *keys,
         order.alias("_order"),
         is_reset.alias("_reset"),
         is_signal.alias("_signal"),
         rank.alias("_rank"),
-        *[flag.alias(name) for name, flag in (carry or {}).items()],
+        *[column.alias(name) for name, column in carry.items()],
         F.struct(*events.columns).alias("_row"),
     )
 
@@ -87,6 +84,7 @@ def operative_event(
     is_reset: Column,
     is_signal: Column,
     rank: Column,
+    keep: Column | None = None,
     salts: int = SALTS,
     staging: Staging | None = None,
 ) -> DataFrame:
@@ -95,12 +93,13 @@ def operative_event(
     Read in `order`, a reset clears the anchor, and a signal anchors when nothing
     stands or when its rank is strictly higher. That equals: of the signals after
     the key's last reset, the highest rank, earliest first. Rows that are neither
-    cannot change the answer and are dropped first.
+    cannot change the answer and are dropped first; `keep` is another condition that
+    drops no reset and no signal.
 
     Two branches read the relevant rows; with `staging` they are written once.
     """
     rows = history_rows(
-        events, keys, order=order, is_reset=is_reset, is_signal=is_signal, rank=rank
+        events, keys, order=order, is_reset=is_reset, is_signal=is_signal, rank=rank, keep=keep
     )
     if staging is not None:
         rows = staging.table(rows, "relevant")
@@ -119,13 +118,15 @@ def accept_awards(
 
     `start` bounds which rows may anchor. Resets count whatever their date.
     """
+    reset, signal = P.is_reset("description"), P.is_explicit_termination(start)
     return operative_event(
         txn,
         ["award_key"],
         order=history_order() if order is None else order,
-        is_reset=P.is_reset("description"),
-        is_signal=P.is_explicit_termination(start),
+        is_reset=reset,
+        is_signal=signal,
         rank=P.anchor_rank(),
+        keep=P.may_matter() & (reset | signal),
         salts=salts,
         staging=staging,
     )
@@ -150,18 +151,21 @@ def accept_candidates(
 
     A signal is always a candidate row, so only the resets need the rejoin: one counts
     when its internal award has a candidate. The few rows that matter are staged, and
-    both branches read those.
+    every branch reads those.
     """
+    candidate, reset = P.is_candidate(), P.is_reset("description")
     rows = staging.table(
         history_rows(
             txn,
             ["award_key"],
             order=history_order(),
-            is_reset=P.is_reset("description"),
+            is_reset=reset,
             is_signal=P.is_explicit_termination(start),
             rank=P.anchor_rank(),
-            carry={"_candidate": P.is_candidate()},
-        ).withColumn("_award", F.col("_row.internal_award_id")),
+            keep=P.may_matter() & (candidate | reset),
+            _candidate=candidate,
+            _award=F.col("internal_award_id"),
+        ),
         "relevant",
     )
     candidates = rows.where("_candidate").select("_award").distinct()

@@ -39,14 +39,20 @@ def sweep_rows(ledger: DataFrame, *, agency_id: int = V.AGENCY_ID) -> DataFrame:
 
 def normalise_sweep(rows: DataFrame, *, source: str = V.RECENCY_SOURCE) -> DataFrame:
     """Sweep rows as award actions, ordered within a day by modification number."""
-    native = S.strip(S.blank("award_identifier"))
-    generated = S.strip(S.blank("generated_unique_award_id"))
     default = F.when(F.col("is_procurement"), "contract").otherwise("grant")
-    return rows.select(
-        S.award_key(generated, native).alias("award_key"),
-        native.alias("award_id"),
-        generated.alias("generated_award_id"),
-        S.sweep_award_type("type", "award_type", generated, default).alias("award_type"),
+    cleaned = rows.withColumns(
+        {
+            "award_identifier": S.strip(S.blank("award_identifier")),
+            "generated_award_id": S.strip(S.blank("generated_unique_award_id")),
+        }
+    )
+    return cleaned.select(
+        S.award_key("generated_award_id", "award_identifier").alias("award_key"),
+        F.col("award_identifier").alias("award_id"),
+        "generated_award_id",
+        S.sweep_award_type(
+            "type", "award_type", F.upper("generated_award_id"), default
+        ).alias("award_type"),
         S.blank("recipient_name").alias("recipient_name"),
         "action_date",
         S.code("action_type").alias("action_type"),

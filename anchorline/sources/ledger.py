@@ -131,27 +131,33 @@ def normalise_ledger(scan: DataFrame, *, source: str = V.DEPTH_SOURCE) -> DataFr
     The internal `award_id` stays beside the action as `internal_award_id`: rollups
     join on it, and one award key may span several of them.
     """
-    native = S.strip(S.blank("native_award_id"))
-    generated = S.strip(S.blank("generated_unique_award_id"))
-    txn = scan.select(
+    cleaned = scan.withColumns(
+        {
+            "native_award_id": S.strip(S.blank("native_award_id")),
+            "generated_award_id": S.strip(S.blank("generated_unique_award_id")),
+            "award_type_code": S.code("award_type_code"),
+        }
+    )
+    return cleaned.select(
         F.col("award_id").alias("internal_award_id"),
         "is_fpds",
-        S.award_key(generated, native).alias("award_key"),
-        native.alias("award_id"),
-        generated.alias("generated_award_id"),
-        S.award_type("award_type_code", generated, "is_fpds").alias("award_type"),
+        S.award_key("generated_award_id", "native_award_id").alias("award_key"),
+        F.col("native_award_id").alias("award_id"),
+        "generated_award_id",
+        S.clean_award_type(
+            "award_type_code", F.upper("generated_award_id"), "is_fpds"
+        ).alias("award_type"),
         S.blank("recipient_name").alias("recipient_name"),
         "action_date",
         S.code("action_type").alias("action_type"),
         S.blank("modification_number").alias("modification_number"),
         S.blank("description").alias("description"),
-        S.code("award_type_code").alias("award_type_code"),
+        "award_type_code",
         F.col("amount").cast(MONEY).alias("amount"),
         F.lit(source).alias("source"),
         S.blank("sort_key").alias("sort_key"),
         "ingest_seq",
     )
-    return txn
 
 
 def with_rollup(txn: DataFrame, rollup: DataFrame) -> DataFrame:

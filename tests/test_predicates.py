@@ -78,6 +78,9 @@ def test_stems_never_hide_a_match(spark):
         *[F.count_if(b).alias(f"n{i}") for i, (_, b) in enumerate(pairs)],
     ).first()
     assert all(counts[f"d{i}"] == 0 and counts[f"n{i}"] > 0 for i in range(len(pairs)))
+    matters = P.may_matter(F.lit(""), "t")
+    needed = bare(V.TERMINATION_PATTERN) | bare(V.CAUSE_PATTERN) | pairs[3][1] | pairs[4][1]
+    assert frame.where(needed & ~matters).count() == 0
     # And the patterns read as Python's own engine reads them.
     engine = re.compile(V.TERMINATION_PATTERN, re.IGNORECASE)
     hits = {r.t for r in frame.where(P.is_termination("t")).collect()}

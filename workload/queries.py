@@ -55,19 +55,22 @@ def sweep_txn(t: Tables) -> DataFrame:
 
 
 def recency(t: Tables, staging: Staging) -> DataFrame:
-    return staging.table(
-        doors.recency_part(
-            t.ledger(), t.rollup(), start=START, today=TODAY, lookback_days=LOOKBACK_DAYS,
-            staging=staging,
-        ),
-        "recency",
+    return doors.recency_part(
+        t.ledger(), t.rollup(), start=START, today=TODAY, lookback_days=LOOKBACK_DAYS,
+        staging=staging,
     )
 
 
 def depth(t: Tables, staging: Staging) -> DataFrame:
-    return staging.table(
-        doors.depth_part(t.ledger(), t.rollup(), start=START, end=T.DEPTH_END, staging=staging),
-        "depth",
+    return doors.depth_part(
+        t.ledger(), t.rollup(), start=START, end=T.DEPTH_END, staging=staging
+    )
+
+
+def parts(t: Tables, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    """Both parts as a publication meets them: written tables."""
+    return (
+        staging.table(recency(t, staging), "recency"), staging.table(depth(t, staging), "depth")
     )
 
 
@@ -79,8 +82,7 @@ def overrides(t: Tables) -> DataFrame:
 
 
 def merged(t: Tables, staging: Staging) -> DataFrame:
-    parts = M.merge(recency(t, staging), depth(t, staging))
-    return staging.table(parts, "merged")
+    return M.merge(recency(t, staging), depth(t, staging), staging=staging)
 
 
 PARTS = [Q.RAW, Q.RAW_ROLLUP, *Q.recency_ctes(), *[c for c in Q.depth_ctes() if c != Q.FACTS]]
@@ -124,7 +126,8 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     staging = Staging(t.spark)
     path = staging.path("csv")
-    files.write_csv(A.publish_order(depth(t, staging)), path, TERMINATION)
+    part = staging.table(depth(t, staging), "depth")
+    files.write_csv(A.publish_order(part), path, TERMINATION)
     return files.read_csv(t.spark, path, TERMINATION)
 
 
@@ -701,7 +704,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("publish_order", Q.with_(*MERGED, select=f"SELECT {PUBLISHED} FROM collapsed"))
 def _(t: Tables) -> DataFrame:
-    return A.publish_order(merged(t, Staging(t.spark)))
+    staging = Staging(t.spark)
+    return A.publish_order(staging.table(merged(t, staging), "merged"))
 
 
 _RULED = [*MERGED, *Q.OVERRIDES, *Q.ruled_ctes("collapsed")]
@@ -734,7 +738,8 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    ruled = R.apply_overrides(merged(t, Staging(t.spark)), overrides(t))
+    staging = Staging(t.spark)
+    ruled = staging.table(R.apply_overrides(merged(t, staging), overrides(t)), "ruled")
     kept, descoped = R.partition_descoped(ruled)
     columns = ["award_key", "override_status", "transaction_description"]
     return kept.select(*columns, F.lit("terminations").alias("published_in")).unionByName(
@@ -756,8 +761,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     staging = Staging(t.spark)
-    left, right = recency(t, staging), depth(t, staging)
-    return prepare_terminations(left, right, overrides(t), staging=staging).summary
+    return prepare_terminations(*parts(t, staging), overrides(t), staging=staging).summary
 
 
 # --- claims ------------------------------------------------------------------------------------------
@@ -880,9 +884,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     staging = Staging(t.spark)
-    publication = prepare_terminations(
-        recency(t, staging), depth(t, staging), overrides(t), staging=staging
-    )
+    publication = prepare_terminations(*parts(t, staging), overrides(t), staging=staging)
     every = publication.terminations.unionByName(publication.descoped)
     return G.row_counts(
         {
