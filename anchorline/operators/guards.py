@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 
 
@@ -90,6 +91,11 @@ def page_problems(pages: DataFrame, items: str) -> DataFrame:
     return unusable.unionByName(seen.where("problem IS NOT NULL").select("page", "problem"))
 
 
+def unidentified_rows(txn: DataFrame) -> DataFrame:
+    """Rows with neither a generated nor a native id. They all share one key; worth a warning."""
+    return txn.where(F.col("award_key") == V.FALLBACK_KEY_PREFIX)
+
+
 def containment_breaches(txn: DataFrame, *, start: date) -> DataFrame:
     """Rows the verdict would accept and the prefilter would miss. There must be none."""
     return txn.where(P.is_explicit_termination(start) & ~P.is_candidate())

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from anchorline.operators import adjudicate as A
+from anchorline.operators import guards as G
 from anchorline.sources import ledger as L
 from builders import START, action, award, ledger, rollup, txn, txns, values
 
@@ -147,6 +148,12 @@ def test_ledger_rows_are_published_with_their_award_facts(spark, staging):
     ]
 
 
+def test_rows_without_any_id_share_a_key_and_are_reported(spark):
+    rows = [action(1, "2025-06-01", piid=None, generated=""), action(2, "2025-06-01", generated=None)]
+    found = G.unidentified_rows(L.normalise_ledger(L.ledger_scan(ledger(spark, rows), start=START)))
+    assert values(found, "ingest_seq") == [(1,)]
+
+
 def test_publish_order(spark):
     from builders import row, rows
 

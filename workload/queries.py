@@ -67,11 +67,20 @@ def depth(t: Tables, staging: Staging) -> DataFrame:
     )
 
 
-def parts(t: Tables, staging: Staging) -> tuple[DataFrame, DataFrame]:
-    """Both parts as a publication meets them: written tables."""
-    return (
-        staging.table(recency(t, staging), "recency"), staging.table(depth(t, staging), "depth")
-    )
+def part(t: Tables, name: str, door: Callable[[Tables, Staging], DataFrame]) -> DataFrame:
+    """A door's part as the merge meets it: a table the door has written."""
+    path = t.land(name, lambda path: door(t, Staging(t.spark)).write.parquet(path))
+    return t.spark.read.schema(TERMINATION).parquet(path)
+
+
+def parts(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return part(t, "recency_part", recency), part(t, "depth_part", depth)
+
+
+def land_tables(t: Tables) -> None:
+    """Write every derived table and both parts."""
+    t.land_all()
+    parts(t)
 
 
 def overrides(t: Tables) -> DataFrame:
@@ -82,7 +91,7 @@ def overrides(t: Tables) -> DataFrame:
 
 
 def merged(t: Tables, staging: Staging) -> DataFrame:
-    return M.merge(recency(t, staging), depth(t, staging), staging=staging)
+    return M.merge(*parts(t), staging=staging)
 
 
 PARTS = [Q.RAW, Q.RAW_ROLLUP, *Q.recency_ctes(), *[c for c in Q.depth_ctes() if c != Q.FACTS]]
@@ -124,10 +133,8 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    staging = Staging(t.spark)
-    path = staging.path("csv")
-    part = staging.table(depth(t, staging), "depth")
-    files.write_csv(A.publish_order(part), path, TERMINATION)
+    path = Staging(t.spark).path("csv")
+    files.write_csv(A.publish_order(parts(t)[1]), path, TERMINATION)
     return files.read_csv(t.spark, path, TERMINATION)
 
 
@@ -162,7 +169,7 @@ _RENDERED = ", ".join(
 
 @query("render_rows", Q.with_(*PARTS, select=f"SELECT {_RENDERED} FROM depth"))
 def _(t: Tables) -> DataFrame:
-    return files.render(depth(t, Staging(t.spark)), TERMINATION)
+    return files.render(parts(t)[1], TERMINATION)
 
 
 # --- scalar expressions -----------------------------------------------------------------
@@ -693,8 +700,7 @@ def _(t: Tables) -> DataFrame:
     Q.with_(*PARTS, *Q.merged_ctes(), select=f"SELECT {PUBLISHED} FROM merged"),
 )
 def _(t: Tables) -> DataFrame:
-    staging = Staging(t.spark)
-    return M.merge_parts(recency(t, staging), depth(t, staging)).select(TERMINATION.names)
+    return M.merge_parts(*parts(t)).select(TERMINATION.names)
 
 
 @query("collapse_fallback", Q.with_(*MERGED, select=f"SELECT {PUBLISHED} FROM collapsed"))
@@ -761,7 +767,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     staging = Staging(t.spark)
-    return prepare_terminations(*parts(t, staging), overrides(t), staging=staging).summary
+    return prepare_terminations(*parts(t), overrides(t), staging=staging).summary
 
 
 # --- claims ------------------------------------------------------------------------------------------
@@ -884,7 +890,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     staging = Staging(t.spark)
-    publication = prepare_terminations(*parts(t, staging), overrides(t), staging=staging)
+    publication = prepare_terminations(*parts(t), overrides(t), staging=staging)
     every = publication.terminations.unionByName(publication.descoped)
     return G.row_counts(
         {
