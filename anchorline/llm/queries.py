@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from anchorline.llm import packing, token_counts
+from anchorline.llm import chat, line_dedup, packing, quality, token_counts
 from anchorline.llm.common import table
 from anchorline.sources.staging import Staging
 
@@ -26,7 +26,32 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), Staging(spark))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.dedup_lines(docs, Staging(spark)).drop("removed")
+
+
+ORACLES["op6_line_dedup"] = line_dedup.SQL
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.sql(
+        f"SELECT -1L AS conv_id, turn, role, '{said}' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.render_conversations(rows.unionByName(probe)))
