@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from anchorline.llm import chat, line_dedup, packing, quality, token_counts
+from anchorline.llm import chat, line_dedup, near_dedup, packing, quality, token_counts
 from anchorline.llm.common import table
 from anchorline.sources.staging import Staging
 
@@ -46,6 +46,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op6_line_dedup"] = line_dedup.SQL
 
 
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"), Staging(spark))
+
+
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
