@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from anchorline.llm import chat, line_dedup, near_dedup, packing, quality, token_counts
+from anchorline.llm import chat, decontamination, line_dedup, near_dedup, packing, quality, token_counts
 from anchorline.llm.common import table
 from anchorline.sources.staging import Staging
 
@@ -37,6 +37,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(docs, benchmark, Staging(spark))
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
