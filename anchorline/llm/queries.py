@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from anchorline.llm import chat, decontamination, line_dedup, near_dedup, packing, quality, token_counts
+from anchorline.llm import (
+    chat,
+    decontamination,
+    html_extraction,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+)
 from anchorline.llm.common import table
 from anchorline.sources.staging import Staging
 
@@ -26,6 +36,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), Staging(spark))
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity(docs, labels, Staging(spark))
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
@@ -57,6 +73,11 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"), Staging(spark))
 
 
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
