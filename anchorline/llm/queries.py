@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from anchorline.llm import (
     chat,
     decontamination,
     html_extraction,
+    licenses,
     line_dedup,
     near_dedup,
     packing,
@@ -68,6 +70,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op6_line_dedup"] = line_dedup.SQL
 
 
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: a source's folders are the leading digits of the ids."""
+    digits = F.regexp_replace(F.expr("CAST(doc_id DIV 10 AS STRING)"), "([0-9])", "$1/")
+    path = F.concat("source", F.lit("/"), digits, F.col("doc_id").cast("string"), F.lit(".txt"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    return licenses.scan(docs, Staging(spark))
+
+
 @query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"), Staging(spark))
