@@ -1,0 +1,65 @@
+from collections import Counter
+
+from compare import connect, differences
+from llm_rows import ODD, documents
+
+from anchorline.llm import line_dedup
+from anchorline.llm.queries import ORACLES, QUERIES
+from conftest import SMALL
+
+
+def texts(spark, staging, rows):
+    got = line_dedup.dedup_lines(documents(spark, rows), staging).collect()
+    return {r.doc_id: (r.text, r.n_lines, r.n_removed, [tuple(x) for x in r.removed]) for r in got}
+
+
+def test_query_matches_its_oracle(spark):
+    found = differences(
+        spark, connect(SMALL), "op6", QUERIES["op6_line_dedup"], ORACLES["op6_line_dedup"], SMALL
+    )
+    assert not found["only_spark"] and not found["only_oracle"] and not found["types"]
+
+
+def test_later_occurrence_goes_and_runs_merge(spark, staging):
+    passage = "one\ntwo\nthree\nfour"
+    got = texts(
+        spark,
+        staging,
+        [(1, f"a\n{passage}\nb"), (2, f"c\nd\n{passage}\ne"), (3, "one\ntwo\nx"), (4, "q\n\nr\ns")],
+    )
+    assert got[1] == (f"a\n{passage}\nb", 6, 0, [])
+    assert got[2] == ("c\nd\ne", 7, 4, [(2, 6)])
+    assert got[3] == ("one\ntwo\nx", 3, 0, [])
+    assert got[4] == ("q\n\nr\ns", 3, 0, [])
+
+
+def test_blank_lines_and_spaces_do_not_hide_a_passage(spark, staging):
+    got = texts(spark, staging, [(1, "a\nb\nc"), (2, "x\n a\n\nb \n  c\ny")])
+    assert got[2] == ("x\n\ny", 5, 3, [(1, 4)])
+
+
+def test_a_passage_on_itself_keeps_its_first_lines(spark, staging):
+    got = texts(spark, staging, [(1, "a\na\na\na\na")])
+    assert got[1] == ("a\na\na", 5, 2, [(3, 5)])
+
+
+def test_odd_rows_and_clashing_columns(spark, staging):
+    got = line_dedup.dedup_lines(documents(spark, ODD, extra=True), staging).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t or "") for i, t in ODD)
+    stage = line_dedup.without_repeats(documents(spark, ODD, extra=True), staging)
+    assert stage.columns == documents(spark, ODD, extra=True).columns
+    assert Counter((r.doc_id, r.text) for r in stage.collect()) == Counter(ODD)
+    assert line_dedup.dedup_lines(documents(spark, []), staging).count() == 0
+
+
+def test_a_copy_goes_whole_in_the_pipeline(spark, staging):
+    rows = [(1, "a\nb\nc"), (2, "a\nb\nc"), (3, "a\nb\nc\nd")]
+    docs = documents(spark, rows).selectExpr("doc_id", "text", "CAST(length(text) AS int) AS n_chars")
+    got = line_dedup.without_repeats(docs, staging)
+    assert got.dtypes == docs.dtypes
+    assert {tuple(r) for r in got.collect()} == {(1, "a\nb\nc", 5), (3, "d", 1)}
+
+
+def test_plan_is_native(spark):
+    plan = QUERIES["op6_line_dedup"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapIn" not in plan and "CartesianProduct" not in plan
