@@ -1,0 +1,120 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+from llm_rows import ODD, documents
+
+from anchorline.llm import near_dedup
+from anchorline.llm.common import Known
+from conftest import SMALL
+
+
+def bag(text):
+    words = [w for w in (x.strip(near_dedup.EDGES).lower() for x in (text or "").split()) if w]
+    if len(words) < 5:
+        return Counter([tuple(words)] if words else [])
+    return Counter(zip(*[words[k:] for k in range(5)]))
+
+
+def similarity(a, b):
+    both = sum((a & b).values())
+    return both / max(sum(a.values()) + sum(b.values()) - both, 1)
+
+
+def brute_classes(rows):
+    """Connected classes of equal bags and similar bags: id to smallest id."""
+    bags = {i: bag(t) for i, t in rows}
+    up = {i: i for i in bags}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    post = defaultdict(list)
+    for i, b in bags.items():
+        for g in b or [()]:
+            post[g].append(i)
+    for group in post.values():
+        for x, a in enumerate(group):
+            for b in group[:x]:
+                if similarity(bags[a], bags[b]) >= 0.8 or bags[a] == bags[b]:
+                    up[max(top(a), top(b))] = min(top(a), top(b))
+    return {i: top(i) for i in bags}
+
+
+def classes(spark, staging, rows):
+    got = near_dedup.near_classes(documents(spark, rows), staging).collect()
+    assert len(got) == len(rows)
+    return {r.doc_id: r.class_id for r in got}
+
+
+def test_driver_rows_match_brute_force(spark, staging):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    rows = [tuple(r) for r in docs]
+    assert classes(spark, staging, rows) == brute_classes(rows)
+
+
+def mutants(rng, base, n, most):
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randint(1, most)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+        yield " ".join(words)
+
+
+def test_a_large_group_of_copies_and_mutants(spark, staging):
+    rng = random.Random(3)
+    base = [f"v{rng.randrange(5000)}" for _ in range(200)]
+    texts = [" ".join(base)] * 40 + list(mutants(rng, base, 150, 4))
+    texts += [" ".join(f"u{rng.randrange(5000)}" for _ in range(200)) for _ in range(40)]
+    got = classes(spark, staging, list(enumerate(texts)))
+    assert got == brute_classes(list(enumerate(texts)))
+    assert sum(c == 0 for c in got.values()) >= 180
+
+
+def test_a_chain_is_one_class(spark, staging):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[6 * k : 6 * k + 200])) for k in range(12)]
+    assert set(classes(spark, staging, rows).values()) == {0}
+
+
+def test_signatures_estimate_weighted_similarity():
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(60)}" for _ in range(3000)]
+    texts = [" ".join(base)] + list(mutants(rng, base, 6, 60)) + ["a b c d e f"]
+    known = Known(near_dedup.word_hashes)
+    elements, doc, _ = near_dedup.shingles(pa.array(texts), known)
+    signs = near_dedup.signatures(elements, doc, len(texts))
+    errors = [
+        np.mean(signs[0] == signs[i]) - similarity(bag(texts[0]), bag(texts[i]))
+        for i in range(len(texts))
+    ]
+    assert max(map(abs, errors)) < 5 * (0.25 / near_dedup.K) ** 0.5
+    alone = near_dedup.shingles(pa.array(texts[-1:]), known)
+    assert (near_dedup.signatures(alone[0], alone[1], 1)[0] == signs[-1]).all()
+
+
+def test_bags_count_repeats():
+    known = Known(near_dedup.word_hashes)
+    elements, doc, _ = near_dedup.shingles(pa.array(["a b c d e a b c d e", "One, two!", ""]), known)
+    assert Counter(doc.tolist()) == {0: 6, 1: 1}
+    assert len(set(elements.tolist())) == 7
+
+
+def test_odd_rows(spark, staging):
+    got = near_dedup.near_classes(documents(spark, ODD, extra=True), staging).collect()
+    assert len(got) == len(ODD)
+    found = Counter((r.doc_id, r.class_id, r.kept) for r in got)
+    assert found[1, 1, True] == 2
+    assert found[2, 2, True] == found[3, 2, False] == found[4, 2, False] == 1
+    assert found[None, None, True] == 1  # a text of its own without an id
+    assert found[None, 2, False] == 1  # a null text is an empty one
+    stage = near_dedup.one_of_each(documents(spark, ODD, extra=True), staging)
+    assert stage.columns == documents(spark, ODD, extra=True).columns
+    kept = sorted((r.doc_id for r in stage.collect()), key=repr)
+    assert kept == [1, 2, 5, 6, 7, None]
+    none = documents(spark, [])
+    assert near_dedup.near_classes(none, staging).count() == 0
+    assert near_dedup.one_of_each(none, staging).count() == 0
