@@ -28,6 +28,8 @@ BANDS, ROWS = 25, 5
 K = BANDS * ROWS
 #: Texts are sorted within a bucket; each is held against so many before it.
 NEIGHBOURS = 3
+#: Bytes of text that a task signs at a time.
+BLOCK = 1 << 22
 #: Pairs whose signatures agree in a smaller share are not checked: five standard deviations.
 ESTIMATE = SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / K) ** 0.5
 #: Signs that are no part of a word at its ends.
@@ -138,7 +140,7 @@ def signed(docs: DataFrame) -> DataFrame:
         known = Known(word_hashes)
         for batch in batches:
             text = batch.column(len(KEY))
-            for a, b in blocks(text):
+            for a, b in blocks(text, BLOCK):
                 elements, doc, digests = shingles(text.slice(a, b - a), known)
                 signs = signatures(elements, doc, b - a)
                 bands = np.zeros((b - a, BANDS), np.uint64)
@@ -159,13 +161,16 @@ def signed(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select(*KEY, "text"), f"{KEYS}, {SIGNED}", rows)
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs of texts worth checking, the one with the smaller document id first.
+def side(df: DataFrame, end: str, column: str) -> DataFrame:
+    """A column of texts, to be joined to one end of pairs."""
+    names = {"doc": f"doc_{end}", "node": f"node_{end}", column: f"{column}_{end}"}
+    return df.select(*names).withColumnsRenamed(names)
 
-    In each bucket of a band every text meets the bucket's leader, the text with the smallest
-    document id, and the texts just before it when the bucket is sorted by the next bands.
-    A bucket of n texts so gives at most (1 + NEIGHBOURS) * n pairs, and every pair where n
-    is at most NEIGHBOURS + 1, unless a task ends inside it.
+
+def bucket_rows(nodes: DataFrame) -> DataFrame:
+    """Texts in buckets of two or more, with the bucket's leader: the smallest document id.
+
+    The leaders come from one aggregation that combines before it shuffles.
     """
 
     def turned(by: int) -> Column:
@@ -175,54 +180,69 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     hashes = F.arrays_zip(*[turned(i).alias(f"h{i}") for i in range(3)])
     rows = (
         nodes.where(F.size("bands") > 0)
-        .select("node", "doc", F.posexplode(hashes).alias("band", "h"))
-        .select("node", "doc", "band", "h.*")
+        .select("doc", "node", F.posexplode(hashes).alias("band", "h"))
+        .select(F.col("doc").alias("doc_b"), F.col("node").alias("node_b"), "band", "h.*")
     )
     leaders = (
         rows.groupBy("band", "h0")
         .agg(
-            F.min(F.struct("doc", "node")).alias("first"),
-            F.max(F.struct("doc", "node")).alias("last"),
+            F.min(F.struct("doc_b", "node_b")).alias("first"),
+            F.max(F.struct("doc_b", "node_b")).alias("last"),
         )
         .where(F.col("first") != F.col("last"))
-        .select("band", "h0", F.col("first.doc").alias("doc_l"), F.col("first.node").alias("node_l"))
+        .select("band", "h0", F.col("first.doc_b").alias("doc_a"), F.col("first.node_b").alias("node_a"))
     )
-    order = ["band", "h0", "h1", "h2", "node"]
+    return rows.join(leaders, ["band", "h0"])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, K)
+
+
+def _near_pairs(batches):
+    """Pairs of a sorted partition whose signatures agree often enough.
+
+    Every text is held against the leader of its bucket and the NEIGHBOURS texts before it.
+    """
+    buckets = np.zeros((0, 2), np.int64)
+    signs, texts = np.zeros((0, K), np.uint8), []
+    for batch in batches:
+        band, h0, doc_b, node_b, doc_a, node_a, sign_b, sign_a = batch.columns
+        old = len(texts)
+        buckets = np.concatenate([buckets, np.stack([band.to_numpy(), h0.to_numpy()], axis=1)])
+        signs = np.concatenate([signs, _matrix(sign_b)])
+        texts += zip(doc_b.to_pylist(), node_b.to_pylist(), strict=True)
+        leaders = list(zip(doc_a.to_pylist(), node_a.to_pylist(), strict=True))
+        agree = (signs[old:] == _matrix(sign_a)).sum(axis=1) >= ESTIMATE * K
+        out = {(leaders[i], texts[old + i]) for i in np.flatnonzero(agree).tolist()}
+        for back in range(1, NEIGHBOURS + 1):
+            at = np.arange(max(old, back), len(texts))
+            at = at[(buckets[at] == buckets[at - back]).all(axis=1)]
+            at = at[(signs[at] == signs[at - back]).sum(axis=1) >= ESTIMATE * K]
+            out |= {tuple(sorted((texts[i - back], texts[i]))) for i in at.tolist()}
+        kept = [(*x, *y) for x, y in out if x != y]
+        yield dict(zip(PAIR, zip(*kept, strict=True) if kept else [[]] * 4, strict=True))
+        buckets, signs, texts = buckets[-NEIGHBOURS:], signs[-NEIGHBOURS:], texts[-NEIGHBOURS:]
+
+
+def near_pairs(nodes: DataFrame, staging: Staging) -> DataFrame:
+    """Distinct pairs of texts whose signatures agree often enough, by (doc, node) of each.
+
+    In each bucket of a band every text meets the leader, and the texts just before it when
+    the bucket is sorted by the next bands. A bucket of n texts so gives at most
+    (1 + NEIGHBOURS) * n pairs, and every pair where n is at most NEIGHBOURS + 1, unless a
+    task ends inside it. In each pair the smaller document id comes first.
+    """
+    rows = staging.table(bucket_rows(nodes), "buckets")
+    for end in "ba":
+        rows = rows.join(side(nodes, end, "signature"), [f"doc_{end}", f"node_{end}"])
+    order = ["band", "h0", "h1", "h2", "node_b"]
     ordered = (
-        rows.join(leaders, ["band", "h0"])
-        .repartitionByRange(*order)
+        rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select("band", "h0", "doc", "node", "doc_l", "node_l")
+        .select("band", "h0", "doc_b", "node_b", "doc_a", "node_a", "signature_b", "signature_a")
     )
-
-    def pairs(batches):
-        before: list[tuple] = []  # the last rows of the batch before
-        for batch in batches:
-            band, h0, *ends = (column.to_pylist() for column in batch.columns)
-            texts = list(zip(ends[0], ends[1], strict=True))
-            found = before + list(zip(band, h0, texts, strict=True))
-            out = set(zip(zip(ends[2], ends[3], strict=True), texts, strict=True))
-            for back in range(1, NEIGHBOURS + 1):
-                for i in range(max(len(before), back), len(found)):
-                    a, b = found[i - back], found[i]
-                    if a[1] == b[1] and a[0] == b[0]:
-                        out.add((a[2], b[2]) if a[2] < b[2] else (b[2], a[2]))
-            before = found[-NEIGHBOURS:]
-            kept = [(*x, *y) for x, y in out if x != y]
-            yield dict(zip(PAIR, zip(*kept, strict=True) if kept else [[]] * 4, strict=True))
-
-    return arrow_map(ordered, PAIRS, pairs).distinct()
-
-
-def _agreeing(batches):
-    """Pairs whose signatures agree often enough."""
-    for batch in batches:
-        a, b = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, K)
-            for i in (4, 5)
-        )
-        keep = pa.array((a == b).sum(axis=1) >= ESTIMATE * K)
-        yield {name: batch.column(i).filter(keep) for i, name in enumerate(PAIR)}
+    return arrow_map(ordered, PAIRS, _near_pairs).distinct()
 
 
 def _similar(batches):
@@ -254,18 +274,7 @@ def links(signs: DataFrame, staging: Staging) -> DataFrame:
         ),
         "nodes",
     )
-    pairs = staging.table(candidate_pairs(nodes), "pairs")
-
-    def side(df: DataFrame, end: str, column: str) -> DataFrame:
-        names = {"doc": f"doc_{end}", "node": f"node_{end}", column: f"{column}_{end}"}
-        return df.select(*names).withColumnsRenamed(names)
-
-    near = pairs
-    for end in "ba":
-        near = near.join(side(nodes, end, "signature"), [f"doc_{end}", f"node_{end}"])
-    near = staging.table(
-        arrow_map(near.select(*PAIR, "signature_a", "signature_b"), PAIRS, _agreeing), "near"
-    )
+    near = staging.table(near_pairs(nodes, staging), "near")
     # The bag of the later text travels to that of the earlier, which many pairs may share.
     for end in "ba":
         near = near.join(side(signs, end, "bag"), [f"doc_{end}", f"node_{end}"])
