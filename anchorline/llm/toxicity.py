@@ -10,6 +10,7 @@ sums, fitted on the same sample, gives the document's score.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -48,7 +49,8 @@ REPORT = set(
 )
 QUOTES = "\"“”„«»"
 
-FEATURES = ["abuse", "misspelt", "quoted", "density"]
+#: Sums of hits by kind, the share of abuse in percent, and whether there is any of a kind.
+FEATURES = ["abuse", "misspelt", "quoted", "density", "any_abuse", "any_misspelt"]
 SCORES = "doc_id long, score double, n_hits long"
 
 
@@ -142,12 +144,9 @@ class Automaton:
         return None if found and found[1] and word in self.ordinary else found
 
     def values(self, words: pa.Array) -> np.ndarray:
-        """0 for no match, else 1, 2 or 3: exact, one edit, two edits."""
-        out = []
-        for raw in words.to_pylist():
-            found = self.find(bare(raw))
-            out.append(0 if found is None else found[1] + 1)
-        return np.array(out, np.int64)
+        """0 for no match, else 1 plus four times the term plus the edits."""
+        found = (self.find(bare(raw)) for raw in words.to_pylist())
+        return np.array([0 if x is None else 1 + 4 * x[0] + x[1] for x in found], np.int64)
 
 
 def window_score(words: list[str], at: int) -> tuple[float, bool]:
@@ -165,8 +164,10 @@ def window_score(words: list[str], at: int) -> tuple[float, bool]:
     return (1.5 if around & ADDRESS else 1.0), quoted
 
 
-def features(texts: pa.Array, known: Known) -> tuple[np.ndarray, np.ndarray]:
-    """The columns of FEATURES per text, and its hits."""
+def features(
+    texts: pa.Array, known: Known, strengths: list[float]
+) -> tuple[np.ndarray, np.ndarray]:
+    """The columns of FEATURES per text, and its hits. A hit counts as its term's strength."""
     bounds, codes, words = split_words(texts)
     out = np.zeros((len(texts), len(FEATURES)))
     hits = np.zeros(len(texts), np.int64)
@@ -179,8 +180,11 @@ def features(texts: pa.Array, known: Known) -> tuple[np.ndarray, np.ndarray]:
         start, stop = max(int(bounds[doc]), place - WINDOW), min(int(bounds[doc + 1]), place + WINDOW + 1)
         near = words.take(pa.array(codes[start:stop])).to_pylist()
         weight, quoted = window_score(near, place - start)
-        column = 2 if quoted else 0 if values[place] == 1 else 1
-        out[doc, column] += weight
+        term, edits = divmod(int(values[place]) - 1, 4)
+        column = 2 if quoted else 1 if edits else 0
+        out[doc, column] += weight * strengths[term]
+        if not quoted:
+            out[doc, 4 + column] = max(out[doc, 4 + column], strengths[term])
         hits[doc] += 1
     size = np.maximum(np.diff(bounds), 1)
     out[:, 3] = np.minimum(100 * out[:, 0] / size, 10)
@@ -191,6 +195,7 @@ def features(texts: pa.Array, known: Known) -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class Model:
     terms: list[str]
+    strengths: list[float]
     ordinary: frozenset[str]
     weights: list[float]
 
@@ -254,12 +259,16 @@ def contexts(texts: DataFrame, wanted: frozenset[str] | None = None) -> DataFram
     return arrow_map(texts.select("text"), "entry string, context long", rows).distinct()
 
 
-def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[str]:
+def choose_terms(
+    toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int
+) -> dict[str, float]:
     """Entries of MIN_RATIO, and of a chain of longer and longer ones that which keeps the
-    hits of the shorter."""
+    hits of the shorter. Each with its strength, 0 to 1: the logarithm of the ratio that is
+    left when chance is allowed for, over that of the strongest."""
 
-    def ratio(e: str) -> float:
-        return (toxic[e] / n_toxic) / ((clean.get(e, 0) + 0.5) / n_clean)
+    def ratio(e: str, doubt: float = 0.0) -> float:
+        seen = max(toxic[e] - doubt * math.sqrt(toxic[e]), 0.1)
+        return (seen / n_toxic) / ((clean.get(e, 0) + 0.5 + doubt) / n_clean)
 
     sure = {e for e in toxic if ratio(e) >= MIN_RATIO}
     out: list[str] = []
@@ -269,10 +278,12 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
         shorter = [s for s in shorter if s in out]
         if all(toxic[e] >= 0.9 * toxic[s] for s in shorter):
             out = [x for x in out if x not in shorter] + [e]
-    return sorted(out)
+    sound = {e: max(math.log(ratio(e, 1.0)), 0.0) for e in sorted(out)}
+    most = max(sound.values(), default=0.0) or 1.0
+    return {e: x / most for e, x in sound.items()}
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> list[float]:
+def fit(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> list[float]:
     """Logistic regression by Newton's method, the two classes weighing the same."""
     x = np.hstack([np.ones((len(rows), 1)), rows])
     w = np.zeros(x.shape[1])
@@ -284,22 +295,35 @@ def fit(rows: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> list[float]
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (weight * (p - labels)) + penalty @ w
         w -= np.linalg.solve((x.T * (weight * np.maximum(p * (1 - p), 1e-6))) @ x + penalty, gradient)
-    w[1:3] = np.maximum(w[1:3], 0)  # a hit is never a sign of harmlessness
-    # Misspellings are rare in a sample; one says at least half of what a plain hit says, a
-    # quoted hit less than that.
-    w[2] = max(w[2], w[1] / 2)
-    w[3] = min(max(w[3], 0), w[1] / 4)
-    w[4] = max(w[4], 0)
+    w[1:] = np.maximum(w[1:], 0)  # a hit is never a sign of harmlessness
+    # Misspellings and quotations are rare in a sample. A misspelling says what a plain hit
+    # says, as ordinary words near a term are no hits; a quoted hit says little.
+    w[2], w[6] = max(w[2], w[1]), max(w[6], w[5])
+    w[3] = min(w[3], w[1] / 4)
     return w.tolist()
 
 
 def train(docs: DataFrame, labels: DataFrame, staging: Staging) -> Model | None:
-    """Lexicon and weights from the sample; none if it lacks one of the classes."""
-    texts = staging.table(sample(docs, labels), "sample")
-    toxic = texts.where("toxic = 1")
-    clean = texts.where("toxic = 0")
-    if toxic.isEmpty() or clean.isEmpty():
+    """Lexicon and weights from the sample; none if it lacks one of the classes.
+
+    The lexicon comes from two thirds of the texts and the weights from the others, on which
+    its terms have not been chosen; from all where that leaves either without a class.
+    """
+    third = (F.xxhash64("text") % 3 == 0).alias("for_weights")
+    texts = staging.table(sample(docs, labels).select("text", "toxic", third), "sample")
+    sizes = {
+        (r["for_weights"], r["toxic"]): r["count"]
+        for r in texts.groupBy("for_weights", "toxic").count().collect()
+    }
+    if {t for _, t in sizes} != {0, 1}:
         return None
+    parted = len(sizes) == 4
+    learn = texts.where("NOT for_weights") if parted else texts
+    weigh = texts.where("for_weights") if parted else texts
+    toxic, clean = learn.where("toxic = 1"), learn.where("toxic = 0")
+
+    def size(label: int) -> int:
+        return sum(n for (w, t), n in sizes.items() if t == label and not (parted and w))
 
     def counted(found: DataFrame, least: int) -> dict[str, int]:
         """Entries and their contexts, of the MAX_TERMS most frequent."""
@@ -308,8 +332,8 @@ def train(docs: DataFrame, labels: DataFrame, staging: Staging) -> Model | None:
 
     toxic_counts = counted(contexts(toxic), MIN_TEXTS)
     clean_counts = counted(contexts(clean, frozenset(toxic_counts)), 1)
-    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    terms = choose_terms(toxic_counts, clean_counts, sizes[1], sizes[0])
+    chosen = choose_terms(toxic_counts, clean_counts, size(1), size(0))
+    terms, strengths = list(chosen), list(chosen.values())
 
     def near_words(batches):
         automaton = Automaton(terms)
@@ -324,16 +348,17 @@ def train(docs: DataFrame, labels: DataFrame, staging: Staging) -> Model | None:
     def feature_rows(batches):
         known = Known(Automaton(terms, ordinary).values)
         for batch in batches:
-            rows, _ = features(batch.column(0), known)
+            rows, _ = features(batch.column(0), known, strengths)
             yield {"label": batch.column(1).cast(pa.int32()), "row": rows.tolist()}
 
     rows = arrow_map(
-        texts.select("text", F.col("toxic").cast("int").alias("toxic")),
+        weigh.select("text", F.col("toxic").cast("int").alias("toxic")),
         "label int, row array<double>",
         feature_rows,
     ).collect()
     found = np.array([r["row"] for r in rows])
-    return Model(terms, ordinary, fit(found, np.array([r["label"] for r in rows], float)))
+    weights = fit(found, np.array([r["label"] for r in rows], float))
+    return Model(terms, strengths, ordinary, weights)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -345,7 +370,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             doc, text = batch.column(0), batch.column(1)
             for a, b in blocks(text):
                 if model:
-                    found, hits = features(text.slice(a, b - a), known)
+                    found, hits = features(text.slice(a, b - a), known, model.strengths)
                     scores = model.score(found)
                 else:
                     scores, hits = np.zeros(b - a), np.zeros(b - a, np.int64)
