@@ -154,7 +154,9 @@ def without_repeats(docs: DataFrame, staging: Staging) -> DataFrame:
 
     A document all of whose lines are removed goes.
     """
-    reduced = _dedup(docs, staging).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    # The condition must not name the new text: pushed down, it would make it for every line.
+    left = (F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))
+    reduced = _dedup(docs, staging).where(left)
     new = {"text": F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
