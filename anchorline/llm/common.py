@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
@@ -30,6 +31,15 @@ def row_key(text: Column) -> list[Column]:
     ]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: idle Python workers share executors with the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def arrow_map(
     df: DataFrame,
     schema: str | T.StructType,
@@ -53,11 +63,12 @@ def arrow_map(
                 ],
                 schema=wanted,
             )
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
-def blocks(texts: pa.Array, size: int = 1 << 24) -> Iterator[tuple[int, int]]:
+def blocks(texts: pa.Array, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
     """Index ranges of a text column of about `size` bytes each, of one row at least."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = total = 0
@@ -95,7 +106,7 @@ class Known:
     millions take tens of megabytes.
     """
 
-    def __init__(self, find: Callable[[pa.Array], np.ndarray], bound: int = 2_000_000):
+    def __init__(self, find: Callable[[pa.Array], np.ndarray], bound: int = 500_000):
         self.find, self.bound = find, bound
         self.words, self.values = pa.array([], pa.string()), np.array([], np.int64)
 

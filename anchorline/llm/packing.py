@@ -24,8 +24,10 @@ from anchorline.sources.staging import Staging
 
 WINDOW = 4096
 END = 2
+#: Bytes of text tokenised at a time.
+BLOCK = 1 << 24
 #: Words whose ids a Python worker remembers.
-WORDS = 2_000_000
+WORDS = 1_000_000
 #: Signs that form a token of their own after a word. An apostrophe may not: it starts endings.
 TAIL = string.punctuation.replace("'", "")
 
@@ -151,7 +153,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
         mark = np.array([end], np.uint16)
         for batch in batches:
             doc, text = batch.column(0), batch.column(1)
-            for a, b in blocks(text):
+            for a, b in blocks(text, BLOCK):
                 ids = [np.append(x, mark) for x in words.encode(text.slice(a, b - a))]
                 counts = [len(x) for x in ids]
                 starts = list(accumulate(counts, initial=before))

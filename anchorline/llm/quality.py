@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm.common import Known, arrow_map, blocks, split_words, text_of
+from anchorline.llm.common import arrow_map, blocks, give_back, split_words, text_of
 
 #: Signs counted as symbols, and the base rule's limits.
 SYMBOLS = "#*$%&|<>"
@@ -87,18 +87,13 @@ def letter_counts(text: str) -> np.ndarray:
     return np.bincount(classes, minlength=CLASSES)
 
 
-def _common(words: pa.Array) -> np.ndarray:
+def common_words(words: pa.Array) -> np.ndarray:
     """The place of each word in WORDS, by its lower-cased letters; else the place after."""
     bare = pc.utf8_lower(pc.utf8_trim(words, characters=".,;:!?\"'()«»“”¿¡|#*$%&<>"))
     found = pc.index_in(bare, pa.array(WORDS))
     return pc.fill_null(found, len(WORDS)).to_numpy()
 
 
-@cache
-def common_words() -> Known:
-    return Known(_common)
-
-
 def repeat_words(codes: np.ndarray, n_words: int) -> int:
     """Words in three-word windows that the text has twice or more."""
     if len(codes) < 3:
@@ -147,7 +142,7 @@ def _histograms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, tuple]:
     letters = np.array([letter_counts(t) for t in texts.to_pylist()]).reshape(-1, CLASSES)
     width = len(WORDS) + 1
     row = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    common = common_words()(words)[codes] if len(codes) else codes
+    common = common_words(words)[codes] if len(codes) else codes
     counts = np.bincount(row * width + common, minlength=len(texts) * width)
     return letters, counts.reshape(-1, width), split
 
@@ -290,5 +285,6 @@ def keep_quality(docs: DataFrame, against: dict[str, np.ndarray] | None = None)
             for a, b in blocks(text):
                 kept = judge(text.slice(a, b - a), against)["kept"]
                 yield batch.slice(a, b - a).filter(pa.array(kept))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

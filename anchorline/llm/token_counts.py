@@ -59,7 +59,7 @@ class MergeCounter:
         self.split = regex.compile(SPLIT)
         self.pieces = Memo(self.merged, bound // 2)
         self.units = Memo(self.unit, bound // 2)
-        self.known = Known(self.spaced)
+        self.known = Known(self.spaced, 3 * bound)
 
     def unit(self, unit: str) -> int:
         return sum(map(self.pieces.__getitem__, self.split.findall(unit)))
@@ -150,7 +150,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
         counter = merge_counter(tokenizer)
         for batch in batches:
             doc, text = batch.column(0), batch.column(1)
-            for a, b in blocks(text):
+            for a, b in blocks(text, 1 << 24):
                 part = text.slice(a, b - a)
                 counts = counter.counts(part)
                 yield {
