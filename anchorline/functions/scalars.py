@@ -98,8 +98,11 @@ def _week_date(text: Column) -> Column:
 
 
 def claim_date(c: ColumnLike) -> Column:
-    """A claim's date: ISO first, then m/d/yyyy, m/d/yy, d-Mon-yyyy."""
-    text = strip(c)
+    """A claim's date: ISO first, then m/d/yyyy, m/d/yy, d-Mon-yyyy.
+
+    A day of one digit may be padded with a blank.
+    """
+    text = F.regexp_replace(strip(c), r"/ (?=[1-9]/)", "/")
     day = r"(?:3[01]|[12]\d|0[1-9]|[1-9])"
     month = r"(?:1[0-2]|0[1-9]|[1-9])"
     long_us = F.when(text.rlike(rf"^{month}/{day}/\d{{4}}$"), F.try_to_date(text, "M/d/yyyy"))
@@ -240,10 +243,13 @@ def has_source(c: ColumnLike, name: str) -> Column:
 
 
 def url_param(url: ColumnLike, name: str) -> Column:
-    """The first non-blank value of a query parameter, decoded; blank when there is none."""
+    """The first non-blank value of a query parameter, decoded; blank when there is none.
+
+    A percent sign without two hexadecimal digits stands for itself.
+    """
     query = F.regexp_extract(blank(url), r"^[^?#]*\?([^#]*)", 1)
     raw = F.regexp_extract(query, rf"(?:^|&){name}=([^&]+)", 1)
-    return F.coalesce(F.try_url_decode(raw), F.replace(raw, F.lit("+"), F.lit(" ")))
+    return F.url_decode(F.regexp_replace(raw, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def url_path_id(url: ColumnLike) -> Column:

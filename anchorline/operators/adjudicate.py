@@ -149,29 +149,36 @@ def accept_candidates(
 ) -> DataFrame:
     """`accept_awards` over `candidate_history`, reading the ledger once.
 
-    A signal is always a candidate row, so only the resets need the rejoin: one counts
-    when its internal award has a candidate. The few rows that matter are staged, and
-    every branch reads those.
+    A candidate row brings back its internal award's signals and resets, which need not
+    be candidates themselves: a coded row of an award that only its id shows to be a
+    vehicle is a signal without one. The few rows that matter are staged, and every
+    branch reads those.
     """
     candidate, reset = P.is_candidate(), P.is_reset("description")
+    signal = P.is_explicit_termination(start)
     rows = staging.table(
         history_rows(
             txn,
             ["award_key"],
             order=history_order(),
             is_reset=reset,
-            is_signal=P.is_explicit_termination(start),
+            is_signal=signal,
             rank=P.anchor_rank(),
-            keep=P.may_matter() & (candidate | reset),
+            keep=P.may_matter() & (candidate | reset | signal),
             _candidate=candidate,
             _award=F.col("internal_award_id"),
         ),
         "relevant",
     )
-    candidates = rows.where("_candidate").select("_award").distinct()
-    resets = rows.where("_reset").join(candidates, "_award", "left_semi")
+    candidates = staging.table(rows.where("_candidate").select("_award").distinct(), "candidates")
+
+    def rejoined(part: str) -> DataFrame:
+        return salted_join(
+            rows.where(part), candidates, ["_award"], "left_semi", spread=F.col("_order"), salts=salts
+        )
+
     return standing_signal(
-        rows.where("_signal AND NOT _reset"), resets, ["award_key"], salts=salts
+        rejoined("_signal AND NOT _reset"), rejoined("_reset"), ["award_key"], salts=salts
     )
 
 

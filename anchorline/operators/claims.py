@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
-from anchorline.operators.skew import salted_join
 from anchorline.schemas import CLAIM, conform
 from anchorline.sources.ledger import rollup_facts
+from anchorline.sources.staging import Staging
 
 
 def award_facts(rollup: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def award_facts(rollup: DataFrame) -> DataFrame:
         S.award_category("category").alias("award_type"),
         S.code("type").alias("award_type_code"),
         F.col("period_of_performance_current_end_date").alias("current_end_date"),
-        *rollup_facts(),
+        *rollup_facts(reported=True),
     ).where(F.col("doge_award_id") != "")
     facts = [c for c in rows.columns if c != "doge_award_id"]
     return (
@@ -39,58 +39,78 @@ def award_facts(rollup: DataFrame) -> DataFrame:
     )
 
 
-def claim_facts(ledger: DataFrame, awards: DataFrame, *, start: date) -> DataFrame:
-    """Per award: terminated, vacated, and its latest action.
+#: Awards asked about, up to which their ids go to every task that reads the ledger.
+ASKED_EVERYWHERE = 500_000
+
+
+def claim_facts(
+    ledger: DataFrame, awards: DataFrame, *, start: date, asked_everywhere: int = ASKED_EVERYWHERE
+) -> DataFrame:
+    """Per award of `awards`: terminated, vacated, and its latest action.
 
     The latest action is by day, then by the modification number as raw text, the
-    first to arrive on ties; its code is reported as it came. `awards` limits the
-    ledger to the awards asked about and supplies their type.
+    first to arrive on ties; its code is reported as it came. `awards` supplies the
+    awards' type.
+
+    The ledger is classified and reduced to a row per award and task before anything
+    is shuffled, so its texts do not travel. Where `awards` is few enough its ids
+    limit the ledger first; the aggregate is the same without.
     """
-    asked = awards.select(
-        F.col("internal_award_id").alias("award_id"), F.col("award_type").alias("asked_type")
-    )
-    rows = salted_join(ledger, asked, ["award_id"], "inner", spread=F.col("ingest_seq")).select(
-        "award_id",
+    asked = awards.select("internal_award_id", F.col("award_type").alias("asked_type"))
+    if asked.limit(asked_everywhere + 1).count() <= asked_everywhere:
+        ids = asked.select(F.col("internal_award_id").alias("award_id"))
+        ledger = ledger.join(F.broadcast(ids), "award_id", "left_semi")
+    rows = ledger.select(
+        F.col("award_id").alias("internal_award_id"),
         "action_date",
         S.blank("action_type").alias("action_type"),
         S.blank("modification_number").alias("modification_number"),
         S.blank("transaction_description").alias("description"),
-        "asked_type",
         "ingest_seq",
     )
     latest = F.struct("action_date", "modification_number", -F.col("ingest_seq"))
-    explicit = P.is_explicit_termination(
-        start, award_type="asked_type", action_type=S.code("action_type")
+    # The award's type is the same for all its rows, so it can decide after the aggregate.
+    by_code, by_text = (
+        P.is_explicit_termination(start, award_type=F.lit(kind), action_type=S.code("action_type"))
+        for kind in (V.CODED_AWARD_TYPES[0], "")
     )
-    return (
-        rows.groupBy(F.col("award_id").alias("internal_award_id"))
-        .agg(
-            F.bool_or(explicit).alias("has_explicit_termination"),
-            F.bool_or(P.is_vacatur("description")).alias("termination_vacated"),
-            F.max_by(F.struct("action_date", "action_type", "description"), latest).alias("last"),
-        )
-        .select(
-            "internal_award_id",
-            "has_explicit_termination",
-            "termination_vacated",
-            F.col("last.action_date").alias("latest_action_date"),
-            F.col("last.action_type").alias("latest_action_type"),
-            F.col("last.description").alias("latest_description"),
-        )
+    facts = rows.groupBy("internal_award_id").agg(
+        F.bool_or(by_code).alias("if_coded"),
+        F.bool_or(by_text).alias("if_not"),
+        F.bool_or(P.is_vacatur("description")).alias("termination_vacated"),
+        F.max_by(F.struct("action_date", "action_type", "description"), latest).alias("last"),
+    )
+    coded = F.col("asked_type").isin(*V.CODED_AWARD_TYPES)
+    return facts.join(asked, "internal_award_id").select(
+        "internal_award_id",
+        F.when(coded, F.col("if_coded")).otherwise(F.col("if_not")).alias("has_explicit_termination"),
+        "termination_vacated",
+        F.col("last.action_date").alias("latest_action_date"),
+        F.col("last.action_type").alias("latest_action_type"),
+        F.col("last.description").alias("latest_description"),
     )
 
 
 def enrich_claims(
-    claims: DataFrame, ledger: DataFrame, rollup: DataFrame, *, start: date, today: date
+    claims: DataFrame,
+    ledger: DataFrame,
+    rollup: DataFrame,
+    *,
+    start: date,
+    today: date,
+    staging: Staging,
 ) -> DataFrame:
     """Claims with award facts; an award that is not there leaves the facts empty.
 
     Claims without an id are set aside before the join: they match nothing, and there
-    may be very many of them. The ledger is aggregated for the named awards only.
+    may be very many of them. The asked awards, one per named id at most, are staged:
+    their ids limit the ledger, and their facts join what the ledger says.
     """
     named, nameless = claims.where("doge_award_id <> ''"), claims.where("doge_award_id = ''")
     ids = named.select("doge_award_id").distinct()
-    awards = award_facts(rollup).join(ids, "doge_award_id", "left_semi")
+    awards = staging.table(
+        award_facts(rollup).join(ids, "doge_award_id", "left_semi"), "asked"
+    )
     facts = awards.join(claim_facts(ledger, awards, start=start), "internal_award_id", "left")
     joined = named.join(facts, "doge_award_id", "left").withColumn(
         "usaspending_found", F.col("internal_award_id").isNotNull()
@@ -119,13 +139,14 @@ def refresh_claims(
     today: date,
     refresh_days: int = V.REFRESH_DAYS,
     position: str | None = None,
+    staging: Staging,
 ) -> DataFrame:
     """Claims as published rows, reusing settled and recently checked ones.
 
-    A previous row is reused for the same id and claim date (missing dates match each
-    other). Rows without an id are never reused. Of several reusable rows for one
-    claim the last one serves: by the `position` column of `existing`, else by check
-    date and then by content.
+    A previous row serves a claim of the same id and date, two missing dates included,
+    never one without an id. Of several that could, the last one does: by the `position`
+    column of `existing`, else by check date and then by content. Claims beside their
+    previous rows are staged: both kinds of claim and the asked ids are read from there.
     """
     cutoff = today - timedelta(days=refresh_days)
     recent = F.coalesce(F.col("checked_date") > F.lit(cutoff), F.lit(False))
@@ -143,10 +164,10 @@ def refresh_claims(
         F.col("old_date")
     )
     named, nameless = claims.where("doge_award_id <> ''"), claims.where("doge_award_id = ''")
-    matched = named.join(reusable, same, "left")
+    matched = staging.table(named.join(reusable, same, "left"), "matched")
     carried = matched.where("old IS NOT NULL").select("old.*")
     stale = matched.where("old IS NULL").select(claims.columns).unionByName(nameless)
-    fresh = enrich_claims(stale, ledger, rollup, start=start, today=today)
+    fresh = enrich_claims(stale, ledger, rollup, start=start, today=today, staging=staging)
     return carried.unionByName(fresh)
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorline import vocabulary as V
@@ -62,33 +62,48 @@ def count_mismatches(rows: DataFrame, manifest: DataFrame, slice_column: str) ->
 
 
 def page_problems(pages: DataFrame, items: str) -> DataFrame:
-    """Pages of a landed feed that are missing, unsuccessful or empty.
+    """Pages of a landed feed that are missing, unsuccessful, empty, landed twice or unexpected.
 
-    The first page says how many there are; without that the feed is unusable.
-    `items` is the field of the result that holds the page's claims.
+    The first page says how many there are; without that, or where pages disagree about it,
+    the feed is unusable. `items` is the field of the result that holds the page's claims.
     """
     count = F.coalesce(F.size(f"result.{items}"), F.lit(0))
     per_page = pages.groupBy("page").agg(
         F.bool_and(F.coalesce("success", F.lit(False))).alias("ok"),
         F.min(count).alias("fewest"),
         F.max("meta.pages").alias("advertised"),
+        F.min("meta.pages").alias("least"),
+        F.count(F.lit(1)).alias("documents"),
     )
     advertised = per_page.agg(
-        F.coalesce(F.max(F.when(F.col("page") == 1, F.col("advertised"))), F.lit(0)).alias("pages")
+        F.coalesce(F.max(F.when(F.col("page") == 1, F.col("advertised"))), F.lit(0)).alias("pages"),
+        F.max("advertised").alias("most"),
+        F.min("least").alias("least"),
     )
-    unusable = advertised.where("pages < 1").select(
-        F.lit(None).cast("int").alias("page"), F.lit("unusable page count").alias("problem")
+    usable = F.col("pages") >= 1
+    unusable = advertised.select(
+        F.lit(None).cast("int").alias("page"),
+        F.when(~usable, "unusable page count")
+        .when(F.col("most") != F.col("least"), "disagreeing page counts")
+        .alias("problem"),
     )
-    wanted = advertised.where("pages >= 1").select(
-        F.explode(F.sequence(F.lit(1), "pages")).alias("page")
-    )
-    seen = wanted.join(per_page, "page", "left").withColumn(
-        "problem",
-        F.when(F.col("ok").isNull(), "missing")
+    wanted = advertised.where(usable).select(F.explode(F.sequence(F.lit(1), "pages")).alias("wanted"))
+    seen = wanted.join(per_page, F.col("wanted") == F.col("page"), "full_outer").select(
+        F.coalesce("wanted", "page").alias("page"),
+        F.when(F.col("wanted").isNull(), "unexpected")
+        .when(F.col("ok").isNull(), "missing")
+        .when(F.col("documents") > 1, "duplicate")
         .when(~F.col("ok"), "unsuccessful")
-        .when(F.col("fewest") < 1, "empty"),
+        .when(F.col("fewest") < 1, "empty")
+        .alias("problem"),
     )
-    return unusable.unionByName(seen.where("problem IS NOT NULL").select("page", "problem"))
+    found = unusable.unionByName(seen.where(usable_feed(advertised)))
+    return found.where("problem IS NOT NULL").select("page", "problem")
+
+
+def usable_feed(advertised: DataFrame) -> Column:
+    """Whether the first page advertises any page: one row, read as a value."""
+    return advertised.select(F.col("pages") >= 1).scalar()
 
 
 def unidentified_rows(txn: DataFrame) -> DataFrame:
@@ -96,8 +111,23 @@ def unidentified_rows(txn: DataFrame) -> DataFrame:
     return txn.where(F.col("award_key") == V.FALLBACK_KEY_PREFIX)
 
 
+def breach_counts(txn: DataFrame, *, start: date) -> DataFrame:
+    """How many rows each standing check finds, for a run's report: check, found."""
+    checks = {
+        "accepted, not candidates": P.is_explicit_termination(start) & ~P.is_candidate(),
+        "phrase without termination": P.matches_sweep_phrase() & ~P.is_termination("description"),
+        "without any id": F.col("award_key") == V.FALLBACK_KEY_PREFIX,
+    }
+    counted = txn.agg(*[F.count_if(check).alias(f"n{i}") for i, check in enumerate(checks.values())])
+    pairs = ", ".join(f"'{name}', n{i}" for i, name in enumerate(checks))
+    return counted.select(F.expr(f"stack({len(checks)}, {pairs})").alias("check", "found"))
+
+
 def containment_breaches(txn: DataFrame, *, start: date) -> DataFrame:
-    """Rows the verdict would accept and the prefilter would miss. There must be none."""
+    """Rows the verdict would accept and the prefilter alone would miss.
+
+    They count when another row makes their award a candidate.
+    """
     return txn.where(P.is_explicit_termination(start) & ~P.is_candidate())
 
 

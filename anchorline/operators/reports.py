@@ -13,15 +13,14 @@ from anchorline.functions import scalars as S
 from anchorline.operators.overrides import apply_overrides
 from anchorline.schemas import FISCAL_YEAR, PULLBACK, conform
 from anchorline.sources.ledger import award_rollup
+from anchorline.sources.ledger import since as ledger_since
 
 
 def end_date_history(
     ledger: DataFrame, *, agency_id: int = V.AGENCY_ID, since: date = V.HISTORY_START
 ) -> DataFrame:
     """One agency's actions since `since` with the end date each one reports."""
-    return ledger.where(
-        (F.col("awarding_agency_id") == agency_id) & (F.col("action_date") >= F.lit(since))
-    ).select(
+    return ledger_since(ledger, since, agency_id).select(
         "award_id",
         S.native_id("piid", "fain", "uri").alias("native_award_id"),
         "generated_unique_award_id",

@@ -184,7 +184,7 @@ def enrich_two_key(
             S.blank("generated_unique_award_id").alias("generated_award_id"),
             S.award_type("type", "generated_unique_award_id", "is_fpds").alias("award_type"),
             S.code("type").alias("award_type_code"),
-            *rollup_facts(),
+            *rollup_facts(reported=True),
         )
         .join(wanted, ["award_id", "award_type"], "left_semi")
     )

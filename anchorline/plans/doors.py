@@ -16,12 +16,11 @@ def depth_verdicts(
     ledger: DataFrame,
     *,
     start: date,
-    end: date | None = None,
     agency_id: int = V.AGENCY_ID,
     staging: Staging,
 ) -> DataFrame:
     """Accepted actions of the whole ledger since `start`, without award facts."""
-    scan = L.ledger_scan(ledger, start=start, end=end, agency_id=agency_id)
+    scan = L.ledger_scan(ledger, start=start, agency_id=agency_id)
     return adjudicate.accept_candidates(L.normalise_ledger(scan), start=start, staging=staging)
 
 
@@ -30,14 +29,11 @@ def depth_part(
     rollup: DataFrame,
     *,
     start: date,
-    end: date | None = None,
     agency_id: int = V.AGENCY_ID,
     staging: Staging,
 ) -> DataFrame:
     """The depth door's published rows. Award facts join after the verdict, one row per award."""
-    accepted = depth_verdicts(
-        ledger, start=start, end=end, agency_id=agency_id, staging=staging
-    )
+    accepted = depth_verdicts(ledger, start=start, agency_id=agency_id, staging=staging)
     return adjudicate.publish_rows(L.as_txn(L.with_rollup(accepted, rollup)))
 
 

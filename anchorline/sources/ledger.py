@@ -13,8 +13,11 @@ from anchorline.schemas import LEDGER, MONEY, ROLLUP, TXN, conform
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """A ledger kept as Parquet, best laid out by agency and action year."""
-    return spark.read.schema(LEDGER).parquet(path)
+    """A ledger kept as Parquet, best as `write_ledger` lays it out; then `action_year` is read too."""
+    found = spark.read.schema(LEDGER).parquet(path)
+    return found.withColumn("action_year", F.col("action_year").cast("int")) if (
+        "action_year" in found.columns
+    ) else found
 
 
 def read_ledger_jdbc(
@@ -50,20 +53,24 @@ def write_ledger(df: DataFrame, path: str) -> None:
     )
 
 
+def since(ledger: DataFrame, start: date, agency_id: int) -> DataFrame:
+    """One agency's actions since `start`; of a ledger laid out by year, only those folders."""
+    rows = ledger.where(
+        (F.col("awarding_agency_id") == agency_id) & (F.col("action_date") >= F.lit(start))
+    )
+    if "action_year" in ledger.columns:
+        rows = rows.where(F.col("action_year") >= start.year)
+    return rows
+
+
 def ledger_scan(
     ledger: DataFrame,
     *,
     start: date,
-    end: date | None = None,
     agency_id: int = V.AGENCY_ID,
 ) -> DataFrame:
     """One agency's actions since `start`, named as the rest of the package reads them."""
-    rows = ledger.where(
-        (F.col("awarding_agency_id") == agency_id) & (F.col("action_date") >= F.lit(start))
-    )
-    if end is not None:
-        rows = rows.where(F.col("action_date") <= F.lit(end))
-    return rows.select(
+    return since(ledger, start, agency_id).select(
         "award_id",
         S.native_id("piid", "fain", "uri").alias("native_award_id"),
         "generated_unique_award_id",
@@ -80,11 +87,17 @@ def ledger_scan(
     )
 
 
-def rollup_facts() -> list[Column]:
+def rollup_facts(*, reported: bool = False) -> list[Column]:
     """The award-level columns every published table shares, nulls as blanks.
 
-    The district is the current one, else the one reported at the time.
+    The district is the current one, else the one reported at the time; with `reported`
+    the latter alone.
     """
+
+    def district(place: str) -> Column:
+        given = [] if reported else [f"{place}_congressional_code_current"]
+        return F.coalesce(*given, f"{place}_congressional_code", F.lit(""))
+
     place = "recipient_location_"
     return [
         S.blank("description").alias("award_description"),
@@ -93,15 +106,11 @@ def rollup_facts() -> list[Column]:
         S.blank(place + "city_name").alias("recipient_city"),
         S.blank(place + "state_code").alias("recipient_state"),
         S.blank(place + "zip5").alias("recipient_zip"),
-        F.coalesce(
-            place + "congressional_code_current", place + "congressional_code", F.lit("")
-        ).alias("recipient_district"),
+        district("recipient_location").alias("recipient_district"),
         S.blank("pop_city_name").alias("pop_city"),
         S.blank("pop_state_code").alias("pop_state"),
         S.blank("pop_zip5").alias("pop_zip"),
-        F.coalesce("pop_congressional_code_current", "pop_congressional_code", F.lit("")).alias(
-            "pop_district"
-        ),
+        district("pop").alias("pop_district"),
         F.col("total_obligation").cast(MONEY).alias("total_obligated"),
         F.col("base_and_all_options_value").cast(MONEY).alias("total_potential_value"),
     ]

@@ -26,7 +26,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staging:
-    """One run's folder of staged tables. The caller removes it when the run is over."""
+    """One run's folder of staged tables.
+
+    As a context manager it removes the folder when the run is over; else the caller does,
+    with `remove`, once nothing reads the staged tables any more.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
@@ -40,3 +44,14 @@ class Staging:
         path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.remove()

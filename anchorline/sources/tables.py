@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from anchorline.functions import scalars as S
+from anchorline.operators.guards import IncompleteInputError
 
 
 def render(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -41,15 +42,16 @@ def parse(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cells)
 
 
-def write_csv(df: DataFrame, path: str, schema: T.StructType, *, mode: str = "errorifexists") -> None:
+def write_csv(df: DataFrame, path: str, schema: T.StructType, *, empty: bool | None = None) -> None:
     """Write a published table as a folder of CSV parts that keep the frame's row order.
 
-    A frame with no rows is written without a header, so it reads back as no rows.
+    A frame with no rows is written without a header, so it reads back as no rows. A caller
+    that knows whether it is empty saves the look.
     """
     rendered = render(df, schema)
     (
-        rendered.write.mode(mode)
-        .option("header", not rendered.isEmpty())
+        rendered.write
+        .option("header", not (rendered.isEmpty() if empty is None else empty))
         .option("emptyValue", "")
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -68,15 +70,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a published table by its declared schema; a missing or empty one has no rows."""
+    """Read a published table by the names in its header.
+
+    Columns may come in any order, and others may stand beside them; a declared column that
+    is missing is an error, and so is a part whose header differs from the others'. A missing
+    or empty table has no rows.
+    """
     if not path_exists(spark, os.fspath(path)):
         return spark.createDataFrame([], schema)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
-        spark.read.schema(text_schema)
-        .option("header", True)
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", False)
         .csv(path)
     )
+    if not raw.columns:
+        return spark.createDataFrame([], schema)
+    missing = [name for name in schema.names if name not in raw.columns]
+    if missing:
+        raise IncompleteInputError(f"{path} has no column {', '.join(missing)}")
     return parse(raw, schema)

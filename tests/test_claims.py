@@ -8,6 +8,7 @@ import pytest
 from anchorline.operators import claims as C
 from anchorline.schemas import CLAIM
 from anchorline.sources import claims_feed as feed
+from anchorline.sources.staging import Staging
 from builders import CLAIM_SIDE, LATE, START, action, award, claim, claims, day, ledger, rollup, values
 
 END = "2026-09-30"
@@ -46,7 +47,7 @@ def test_landed_pages_become_claims(spark, tmp_path):
 
 def enrich(spark, claim_rows, actions, awards):
     frame = claims(spark, claim_rows).select(CLAIM_SIDE)
-    out = C.enrich_claims(frame, ledger(spark, actions), rollup(spark, awards), start=START, today=LATE)
+    out = C.enrich_claims(frame, ledger(spark, actions), rollup(spark, awards), start=START, today=LATE, staging=Staging(spark))
     assert out.columns == CLAIM.names
     return out
 
@@ -103,7 +104,7 @@ def refreshed(spark, claim_rows, before, **more):
         claims(spark, claim_rows).select(CLAIM_SIDE), claims(spark, before),
         ledger(spark, [action(1, "2025-04-01", code="C", text="now")]),
         rollup(spark, [award(1, period_of_performance_current_end_date=day(END))]),
-        start=START, today=LATE, **more,
+        start=START, today=LATE, staging=Staging(spark), **more,
     )
     return values(out, "doge_award_id", "recipient", "latest_description", "checked_date")
 

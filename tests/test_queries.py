@@ -7,6 +7,7 @@ from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SMALL
+from workload.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,16 +17,17 @@ def oracle():
     con.close()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_oracle(spark, oracle, name):
-    found = differences(spark, oracle, name, queries()[name], oracle_sql()[name], SMALL)
+    found = differences(spark, oracle, name, QUERIES[name], ORACLES[name], SMALL)
     assert not found["types"]
     assert not found["only_spark"] and not found["only_oracle"], found
     assert found["rows"] == found["oracle_rows"]
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_gives_rows(spark):
@@ -40,11 +42,15 @@ FORBIDDEN = re.compile(
 )
 
 
-@pytest.mark.parametrize(
-    "name",
-    "candidate_history operative_event adjudicated enrich_rollup followup_rejudge pullbacks "
-    "fiscal_year_counts merge_parts apply_overrides claim_facts claims_enriched".split(),
-)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plans_have_no_cross_joins_windows_or_python(spark, name):
-    plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not FORBIDDEN.search(plan), plan
+
+
+@pytest.mark.parametrize("name", ["ledger_scan", "pullbacks"])
+def test_ledger_queries_read_no_more_columns_than_they_use(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(awarding_agency_id)" in plan
+    if name == "pullbacks":
+        assert "transaction_description" not in plan

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from anchorline.operators import guards as G
+from anchorline.operators.reports import end_date_history
 from anchorline.plans import publish
 from anchorline.schemas import CLAIM, FISCAL_YEAR, PULLBACK, TERMINATION
 from anchorline.sources import claims_feed as feed
@@ -16,8 +17,9 @@ from anchorline.sources import ledger as L
 from anchorline.sources import tables as files
 from anchorline.sources.overrides import load_overrides
 from anchorline.sources.staging import Staging, shared_folder
+from anchorline.sources.store import Store
 from builders import (
-    START, action, award, claim, claims, day, ledger, rollup, row, rows, values,
+    LATE, START, action, award, claim, claims, day, ledger, rollup, row, rows, values,
 )
 
 
@@ -123,6 +125,9 @@ def pages(spark, *documents):
         ([(1, True, None, 1)], [(None, "unusable page count")]),
         ([(1, True, 0, 1)], [(None, "unusable page count")]),
         ([(2, True, 2, 1)], [(None, "unusable page count")]),
+        ([(1, True, 2, 1), (2, True, 2, 1), (2, True, 2, 1)], [(2, "duplicate")]),
+        ([(1, True, 1, 1), (2, True, 1, 1), (None, True, 1, 1)], [(2, "unexpected"), (None, "unexpected")]),
+        ([(1, True, 2, 1), (2, True, 3, 1)], [(None, "disagreeing page counts")]),
     ],
 )
 def test_page_completeness(spark, documents, problems):
@@ -143,7 +148,9 @@ def test_ledger_layout_prunes_folders_and_pushes_filters(spark, tmp_path):
     scan = L.ledger_scan(L.read_ledger(spark, path), start=START)
     assert scan.count() == 10
     plan = scan.select("sort_key")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(awarding_agency_id" in plan
+    assert "PartitionFilters: [isnotnull(awarding_agency_id" in plan and "(action_year#" in plan.split("PushedFilters")[0]
+    history = end_date_history(L.read_ledger(spark, path), since=START)
+    assert "action_year" in history._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("]")[0]
     assert "GreaterThanOrEqual(action_date,2025-01-20)" in plan
     assert "transaction_description" not in plan
 
@@ -162,13 +169,15 @@ def test_publish_a_ledger(spark, tmp_path):
     ]
     overrides = spark.createDataFrame([("D1", "vacated"), ("Z", "closed_out")], "override_id string, status string")
     out = str(tmp_path / "out")
-    publication = publish.publish_ledger(
+    store = Store(spark, out)
+    publish.publish_ledger(
         spark, ledger(spark, actions), rollup(spark, [award(1)]), overrides, out, today=date(2026, 8, 20)
     )
 
     def published(name, schema):
-        stored = spark.read.schema(schema).parquet(f"{out}/{name}.parquet")
-        assert values(files.read_csv(spark, f"{out}/{name}.csv", schema)) == values(stored)
+        stored = store.read(name, schema)
+        rendered = files.read_csv(spark, f"{store.path(name)}.csv", schema)
+        assert [tuple(r) for r in rendered.collect()] == [tuple(r) for r in stored.collect()]
         return stored
 
     terminations = published("terminations", TERMINATION)
@@ -179,14 +188,82 @@ def test_publish_a_ledger(spark, tmp_path):
     assert values(published("pullbacks", PULLBACK), "award_id", "days_shortened") == [("F1", 730)]
     years = {r.fiscal_year: r.terminated_awards for r in published("fiscal_years", FISCAL_YEAR).collect()}
     assert {y: n for y, n in years.items() if n} == {2012: 1, 2025: 1, 2026: 1}
-    assert values(publication.unmatched) == [("Z", "closed_out")]
-    assert publication.summary.first().asDict() == {
+    unmatched = spark.read.parquet(f"{store.path('unmatched_rulings')}.parquet")
+    assert values(unmatched) == [("Z", "closed_out")]
+    assert spark.read.parquet(f"{store.path('summary')}.parquet").first().asDict() == {
         "recency_rows": 2, "depth_rows": 4, "published_rows": 2, "both_rows": 1, "descoped_rows": 1,
     }
+    checks = spark.read.parquet(f"{store.path('checks')}.parquet")
+    assert {r.check: r.found for r in checks.collect()} == {
+        "accepted, not candidates": 0, "phrase without termination": 0, "without any id": 0,
+    }
+
+
+NO_RULINGS = "override_id string, status string"
+
+
+def published_keys(spark, out):
+    return [r.award_key for r in Store(spark, out).read("terminations", TERMINATION).collect()]
+
+
+def test_a_daily_run_meets_the_stored_depth_part(spark, tmp_path):
+    none, out = spark.createDataFrame([], NO_RULINGS), str(tmp_path / "out")
+    book = [action(1, "2025-06-01", code="F", text="admin")]
+    publish.publish_depth(spark, ledger(spark, book), rollup(spark, []), none, out, today=LATE)
+    assert published_keys(spark, out) == ["CONT_AWD_A1"]
+    news = [action(9, "2026-08-19", award=9, piid="N1", generated="CONT_AWD_N1", code="F")]
+    publish.publish_recency(spark, ledger(spark, news), rollup(spark, []), none, out, today=LATE)
+    assert published_keys(spark, out) == ["CONT_AWD_N1", "CONT_AWD_A1"]
+    stored = Store(spark, out)
+    assert stored.read("depth_part", TERMINATION).count() == stored.read("recency_part", TERMINATION).count() == 1
+    folders = [d for d in os.listdir(shared_folder(spark).removeprefix("file:")) if d.startswith("anchorline-")]
+    before = set(folders)
+    publish.publish_recency(spark, ledger(spark, news), rollup(spark, []), none, out, today=LATE)
+    after = {d for d in os.listdir(shared_folder(spark).removeprefix("file:")) if d.startswith("anchorline-")}
+    assert after == before  # a run's staged tables go with it
+
+
+def test_a_failing_year_scan_leaves_the_rest_published(spark, tmp_path, monkeypatch):
+    none, out = spark.createDataFrame([], NO_RULINGS), str(tmp_path / "out")
+
+    def fail(*args, **more):
+        raise RuntimeError("scan lost")
+
+    monkeypatch.setattr(publish, "count_by_fiscal_year", fail)
+    with pytest.raises(RuntimeError):
+        publish.publish_depth(
+            spark, ledger(spark, [action(1, "2025-06-01", code="F")]), rollup(spark, []), none, out, today=LATE
+        )
+    assert published_keys(spark, out) == ["CONT_AWD_A1"]
+    assert Store(spark, out).path("fiscal_years") is None
+
+
+def test_a_failure_halfway_leaves_the_old_version(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.publish({"a": spark.range(3), "b": spark.range(1)})
+    bad = spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(PySparkException):
+        store.publish({"a": spark.range(9), "b": bad})
+    schema = spark.range(1).schema
+    assert store.read("a", schema).count() == 3 and store.read("b", schema).count() == 1
+    store.publish({"a": spark.range(4)})
+    assert store.read("a", schema).count() == 4 and store.read("b", schema).count() == 1
+    assert store.read("c", schema).count() == 0
+
+
+def test_a_ledger_short_of_its_manifest_is_refused(spark, tmp_path):
+    none = spark.createDataFrame([], NO_RULINGS)
+    manifest = spark.createDataFrame([(day("2025-06-01"), 2)], "action_date date, expected long")
+    with pytest.raises(G.IncompleteInputError):
+        publish.publish_depth(
+            spark, ledger(spark, [action(1, "2025-06-01", code="F")]), rollup(spark, []), none,
+            str(tmp_path / "out"), today=LATE, manifest=manifest,
+        )
+    assert not (tmp_path / "out").exists()
 
 
 def test_nothing_is_written_when_a_part_is_empty(spark, tmp_path):
-    nothing = spark.createDataFrame([], "override_id string, status string")
+    nothing = spark.createDataFrame([], NO_RULINGS)
     with pytest.raises(G.IncompleteInputError):
         publish.publish_ledger(
             spark, ledger(spark, [action(1, "2025-06-01")]), rollup(spark, []), nothing,
@@ -201,13 +278,31 @@ def test_publish_two_parts(spark, tmp_path):
     files.write_csv(rows(spark, [row("K", source="mirror")]), depth, TERMINATION)
     (tmp_path / "r.csv").write_text("Award ID,Tracking Status\nA,continued\n")
     publish.publish_parts(spark, recency, depth, str(tmp_path / "r.csv"), out)
-    found = files.read_csv(spark, f"{out}/terminations.csv", TERMINATION)
+    found = Store(spark, out).read("terminations", TERMINATION)
     assert values(found, "award_key", "sources") == [("K", "api;mirror")]
     # A missing part counts as one without rows; two of them are refused.
     with pytest.raises(G.IncompleteInputError):
         publish.publish_parts(spark, recency + "x", depth + "x", str(tmp_path / "r.csv"), out)
 
 
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("terminated_awards,fiscal_year\n7,2020\n", [(2020, 7)]),
+        ("note,fiscal_year,more,terminated_awards\nx,2020,y,7\n", [(2020, 7)]),
+        ("fiscal_year,awards\n2020,7\n", None),
+        ("", []),
+    ],
+)
+def test_tables_are_read_by_name(spark, tmp_path, text, wanted):
+    (tmp_path / "years.csv").write_text(text)
+    if wanted is None:
+        with pytest.raises(G.IncompleteInputError):
+            files.read_csv(spark, str(tmp_path / "years.csv"), FISCAL_YEAR)
+    else:
+        assert values(files.read_csv(spark, str(tmp_path / "years.csv"), FISCAL_YEAR)) == wanted
+
+
 def test_publish_claims_refuses_a_missing_page_and_reuses_its_output(spark, tmp_path):
     item = ("NASA", "Orbit", "1", "1", "2025-03-04", "x", "https://f.example/?PIID=A1", "d")
     contracts = spark.createDataFrame([(True, 1, (1,), ([item],))], feed.CONTRACT_PAGE)
@@ -218,11 +313,11 @@ def test_publish_claims_refuses_a_missing_page_and_reuses_its_output(spark, tmp_
     def run(existing, today):
         return publish.publish_claims(spark, contracts, grants, existing, book, facts, out, today=today)
 
-    run(claims(spark, []), date(2026, 1, 1))
-    first = files.read_csv(spark, f"{out}/claims.csv", CLAIM)
+    run(publish.stored_claims(spark, out), date(2026, 1, 1))
+    first = publish.stored_claims(spark, out)
     assert values(first, "doge_award_id", "has_explicit_termination") == [("A1", True), ("G1", False)]
     run(first, date(2026, 6, 1))
-    second = spark.read.schema(CLAIM).parquet(f"{out}/claims.parquet")
+    second = publish.stored_claims(spark, out)
     # The terminated award is settled and keeps its row; the other one is checked again.
     assert values(second, "doge_award_id", "checked_date") == [("A1", date(2026, 1, 1)), ("G1", date(2026, 6, 1))]
     short = grants.withColumn("meta", F.struct(F.lit(2).alias("pages")))

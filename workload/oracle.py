@@ -10,7 +10,6 @@ from anchorline import vocabulary as V
 from workload import tables as T
 
 START, TODAY = f"DATE '{T.START}'", f"DATE '{T.TODAY}'"
-DEPTH_END = f"DATE '{T.DEPTH_END}'"
 TABLE_NAMES = "region nation customer supplier orders lineitem events documents pages".split()
 
 
@@ -62,7 +61,8 @@ def explicit(start: str) -> str:
 
 def candidate() -> str:
     return (
-        f"((is_fpds AND upper(trim(action_type)) IN ('F', 'N')) OR {termination()} OR {cause()})"
+        f"((coalesce(is_fpds, false) AND upper(trim(action_type)) IN ('F', 'N')) "
+        f"OR {termination()} OR {cause()})"
     )
 
 
@@ -78,7 +78,7 @@ def award_type(code: str, generated: str, fpds: str) -> str:
     return (
         f"CASE WHEN starts_with(upper(trim(coalesce({code}, ''))), 'IDV_') "
         f"OR starts_with(upper(trim(coalesce({generated}, ''))), 'CONT_IDV_') THEN 'idv' "
-        f"WHEN {fpds} THEN 'contract' ELSE 'grant' END"
+        f"WHEN coalesce({fpds}, false) THEN 'contract' ELSE 'grant' END"
     )
 
 
@@ -101,7 +101,7 @@ RAW_LINES = f"raw AS ({derived(T.LINES_LEDGER)})"
 RAW_LINES_ROLLUP = f"raw_rollup AS ({derived(T.LINES_ROLLUP)})"
 
 
-def scan(start: str, end: str = "DATE '9999-12-31'") -> str:
+def scan(start: str) -> str:
     return f"""scan AS (
         SELECT award_id, {NATIVE} AS native_award_id, generated_unique_award_id,
             transaction_unique_id AS sort_key, is_fpds, type AS award_type_code, action_date,
@@ -109,7 +109,7 @@ def scan(start: str, end: str = "DATE '9999-12-31'") -> str:
             coalesce(modification_number, '') AS modification_number,
             coalesce(transaction_description, '') AS description,
             federal_action_obligation AS amount, recipient_name, ingest_seq
-        FROM raw WHERE awarding_agency_id = 862 AND action_date BETWEEN {start} AND {end})"""
+        FROM raw WHERE awarding_agency_id = 862 AND action_date >= {start})"""
 
 
 TXN = f"""txn AS (
@@ -164,6 +164,13 @@ FACT_COLUMNS = """recipient_address1 recipient_address2 recipient_city recipient
     recipient_district pop_city pop_state pop_zip pop_district""".split()
 
 
+#: The same with the districts as reported, for the doors that publish those.
+REPORTED = """reported AS (
+    SELECT f.* REPLACE (coalesce(r.recipient_location_congressional_code, '') AS recipient_district,
+        coalesce(r.pop_congressional_code, '') AS pop_district)
+    FROM facts f JOIN raw_rollup r ON r.award_id = f.fact_id)"""
+
+
 def fact_cells(prefix: str = "f") -> str:
     texts = ["award_description", *FACT_COLUMNS]
     return ", ".join(f"coalesce({prefix}.{c}, '') AS {c}" for c in texts) + (
@@ -185,9 +192,9 @@ def published(source: str, out: str, join: str, type_code: str = "a.award_type_c
         FROM {source} a {join})"""
 
 
-def depth_ctes(start: str = START, end: str = DEPTH_END) -> list[str]:
+def depth_ctes(start: str = START) -> list[str]:
     return [
-        scan(start, end), TXN, CANDIDATE_TXN, *adjudicate("history", "accepted", start), FACTS,
+        scan(start), TXN, CANDIDATE_TXN, *adjudicate("history", "accepted", start), FACTS,
         published("accepted", "depth", "LEFT JOIN facts f ON f.fact_id = a.internal_award_id"),
     ]
 
@@ -239,12 +246,13 @@ def rejudge_ctes() -> list[str]:
 def two_key_ctes() -> list[str]:
     return [
         FACTS,
+        REPORTED,
         f"""found AS (
             SELECT trim(coalesce({NATIVE}, '')) AS native,
                 coalesce(generated_unique_award_id, '') AS generated,
                 {award_type("type", "generated_unique_award_id", "is_fpds")} AS kind,
                 upper(trim(coalesce(type, ''))) AS award_type_code, f.*
-            FROM raw_rollup r JOIN facts f ON f.fact_id = r.award_id
+            FROM raw_rollup r JOIN reported f ON f.fact_id = r.award_id
             WHERE awarding_agency_id = 862)""",
         """asked AS (SELECT found.*,
                 CASE kind WHEN 'contract' THEN 0 WHEN 'idv' THEN 1 ELSE 2 END AS turn
@@ -372,7 +380,9 @@ def iso_date(c: str) -> str:
         f"CASE WHEN regexp_matches({head}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') "
         f"THEN CAST(try_strptime({head}, '%Y-%m-%d') AS DATE) "
         f"WHEN regexp_matches({head}, '^[0-9]{{8}}$') "
-        f"THEN CAST(try_strptime({head}, '%Y%m%d') AS DATE) END"
+        f"THEN CAST(try_strptime({head}, '%Y%m%d') AS DATE) "
+        f"WHEN regexp_matches({head}, '^[0-9]{{4}}-W[0-9]{{2}}-[1-7]$') "
+        f"THEN CAST(try_strptime({head}, '%G-W%V-%u') AS DATE) END"
     )
 
 
@@ -384,8 +394,8 @@ def claim_date(c: str) -> str:
         (f"^{day}-[A-Za-z]{{3}}-[0-9]{{4}}$", "%d-%b-%Y"),
     ]
     arms = ", ".join(
-        f"CASE WHEN regexp_matches(trim({c}), '{shape}') "
-        f"THEN CAST(try_strptime(trim({c}), '{form}') AS DATE) END"
+        f"CASE WHEN regexp_matches(replace(trim({c}), '/ ', '/'), '{shape}') "
+        f"THEN CAST(try_strptime(replace(trim({c}), '/ ', '/'), '{form}') AS DATE) END"
         for shape, form in forms
     )
     return f"coalesce({iso_date(c)}, {arms})"
@@ -398,10 +408,13 @@ def money(c: str) -> str:
 
 
 def param_id(c: str) -> str:
-    return (
-        f"url_decode(regexp_extract(regexp_extract(coalesce({c}, ''), '^[^?#]*[?]([^#]*)', 1), "
-        "'(^|&)PIID=([^&]+)', 2))"
+    raw = (
+        f"regexp_extract(regexp_extract(coalesce({c}, ''), '^[^?#]*[?]([^#]*)', 1), "
+        "'(^|&)PIID=([^&]+)', 2)"
     )
+    # Every percent sign escaped, then those of good escapes taken back.
+    escaped = f"replace({raw}, '%', '%25')"
+    return f"url_decode(regexp_replace({escaped}, '%25([0-9A-Fa-f]{{2}})', '%\\1', 'g'))"
 
 
 def path_id(c: str) -> str:
@@ -431,7 +444,7 @@ AWARD_FACTS = """award_facts AS (
         CASE WHEN category IN ('grant', 'idv', 'contract') THEN category ELSE '' END AS award_type,
         upper(trim(coalesce(type, ''))) AS award_type_code,
         period_of_performance_current_end_date AS current_end_date, f.* EXCLUDE (fact_id)
-    FROM raw_rollup r JOIN facts f ON f.fact_id = r.award_id
+    FROM raw_rollup r JOIN reported f ON f.fact_id = r.award_id
     WHERE coalesce(piid, fain, uri) <> ''
     QUALIFY row_number() OVER (PARTITION BY coalesce(piid, fain, uri) ORDER BY r.award_id DESC) = 1)"""
 
@@ -476,7 +489,7 @@ def enriched(source: str, out: str) -> str:
         LEFT JOIN claim_facts t ON t.internal_award_id = a.internal_award_id)"""
 
 
-CLAIM_BASE = [RAW, RAW_ROLLUP, CLAIM_ITEMS, CLAIMS, FACTS, AWARD_FACTS, CLAIM_FACTS]
+CLAIM_BASE = [RAW, RAW_ROLLUP, CLAIM_ITEMS, CLAIMS, FACTS, REPORTED, AWARD_FACTS, CLAIM_FACTS]
 SETTLED = (
     f"(usaspending_found AND ((has_explicit_termination AND NOT termination_vacated) "
     f"OR coalesce(current_end_date < {TODAY}, false)))"

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
@@ -62,9 +63,7 @@ def recency(t: Tables, staging: Staging) -> DataFrame:
 
 
 def depth(t: Tables, staging: Staging) -> DataFrame:
-    return doors.depth_part(
-        t.ledger(), t.rollup(), start=START, end=T.DEPTH_END, staging=staging
-    )
+    return doors.depth_part(t.ledger(), t.rollup(), start=START, staging=staging)
 
 
 def part(t: Tables, name: str, door: Callable[[Tables, Staging], DataFrame]) -> DataFrame:
@@ -133,8 +132,9 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
+    """Written with the columns the other way round, read by name."""
     path = Staging(t.spark).path("csv")
-    files.write_csv(A.publish_order(parts(t)[1]), path, TERMINATION)
+    files.write_csv(A.publish_order(parts(t)[1]), path, StructType(TERMINATION.fields[::-1]))
     return files.read_csv(t.spark, path, TERMINATION)
 
 
@@ -784,7 +784,9 @@ def claims_with_key(t: Tables) -> DataFrame:
 
 
 def enriched(t: Tables, claims: DataFrame) -> DataFrame:
-    return C.enrich_claims(claims, t.ledger(), t.rollup(), start=START, today=TODAY)
+    return C.enrich_claims(
+        claims, t.ledger(), t.rollup(), start=START, today=TODAY, staging=Staging(t.spark)
+    )
 
 
 def existing(t: Tables, claims: DataFrame) -> DataFrame:
@@ -815,7 +817,9 @@ _CLAIM = ", ".join(Q.CLAIM_COLUMNS)
 )
 def _(t: Tables) -> DataFrame:
     ids = feed.claims_scan(*t.landed_claims()).select("doge_award_id").distinct()
-    awards = C.award_facts(t.rollup()).join(ids, "doge_award_id", "left_semi")
+    awards = Staging(t.spark).table(
+        C.award_facts(t.rollup()).join(ids, "doge_award_id", "left_semi"), "asked"
+    )
     return C.claim_facts(t.ledger(), awards, start=START)
 
 
@@ -868,7 +872,8 @@ def _(t: Tables) -> DataFrame:
     claims = claims_with_key(t).drop("position")
     before = staging.table(existing(t, claims), "existing")
     rows = C.refresh_claims(
-        claims, before, t.ledger(), t.rollup(), start=START, today=TODAY, position="position"
+        claims, before, t.ledger(), t.rollup(), start=START, today=TODAY, position="position",
+        staging=staging,
     )
     return C.claim_order(rows).select(CLAIM.names)
 
@@ -924,14 +929,18 @@ def _(t: Tables) -> DataFrame:
             FROM items)""",
         """seen AS (SELECT page, count(*) FILTER (WHERE agency = 'Department of Energy') AS listed
             FROM numbered GROUP BY page)""",
-        select="""SELECT CAST(p AS INTEGER) AS page, CASE WHEN s.page IS NULL THEN 'missing'
+        """last AS (SELECT max(page) AS last FROM numbered)""",
+        """judged AS (SELECT CAST(p AS INTEGER) AS page, CASE WHEN s.page IS NULL THEN 'missing'
+                WHEN p = 1 THEN 'duplicate'
                 WHEN p % 3 = 0 THEN 'unsuccessful' WHEN listed = 0 THEN 'empty' END AS problem
-            FROM range(1, (SELECT max(page) FROM numbered) + 3) pages(p) LEFT JOIN seen s ON s.page = p
-            WHERE s.page IS NULL OR p % 3 = 0 OR listed = 0""",
+            FROM range(1, (SELECT last FROM last) + 3) pages(p) LEFT JOIN seen s ON s.page = p)""",
+        select="""SELECT * FROM judged WHERE problem IS NOT NULL
+            UNION ALL SELECT CAST(last + 3 AS INTEGER), 'unexpected' FROM last""",
     ),
 )
 def _(t: Tables) -> DataFrame:
-    """A feed that advertises two pages too many and whose every third page reports failure."""
+    """A feed that advertises two pages too many, whose every third page reports failure, with
+    its first page landed twice and one page beyond the advertised ones."""
     items = t.claim_items().withColumn("page", (F.col("o_orderkey") / T.PAGE_SIZE).cast("int") + 1)
     last = items.agg(F.max("page").alias("last")).select((F.col("last") + 2).alias("pages")).scalar()
     entry = F.when(F.col("agency") == "Department of Energy", F.struct("agency"))
@@ -939,7 +948,9 @@ def _(t: Tables) -> DataFrame:
         (F.first("page") % 3 != 0).alias("success"),
         F.struct(F.collect_list(entry).alias("contracts")).alias("result"),
     ).withColumn("meta", F.struct(last.alias("pages")))
-    return G.page_problems(pages, "contracts")
+    first = pages.where("page = 1")
+    beyond = first.withColumn("page", F.col("meta.pages") + 1)
+    return G.page_problems(pages.unionByName(first).unionByName(beyond), "contracts")
 
 
 @query(

@@ -21,8 +21,6 @@ from anchorline.sources.staging import Staging
 START = date(2024, 1, 5)
 TODAY = date(2024, 1, 31)
 LOOKBACK_DAYS = 12
-#: The depth copy lags: the last day it holds.
-DEPTH_END = date(2024, 1, 24)
 # Bounds for the lineitem ledger, which spans 1995-01 to 2001-11.
 LINES_START = date(1999, 1, 1)
 LINES_HISTORY = date(1996, 1, 1)
@@ -98,7 +96,8 @@ def _ledger(a: str, n: str, day: str, action: str, amount: str, agency: str, key
             CASE WHEN {n} % 20 = 0 THEN '' WHEN {n} % 10 = 0 THEN NULL ELSE {_generated(a)} END
                 AS generated_unique_award_id,
             {key} AS transaction_unique_id,
-            {a} % 3 <> 0 AS is_fpds,
+            CASE WHEN {a} % 3 = 0 THEN false WHEN NOT {vehicle} THEN true
+                 WHEN {n} % 11 = 0 THEN NULL ELSE {n} % 13 <> 0 END AS is_fpds,
             {_type(a)} AS type,
             {day} AS action_date,
             {action} AS action_type,
@@ -210,7 +209,7 @@ RAW_OVERRIDES = f"""
                 WHEN c_acctbal < 3500 THEN 'vacated' WHEN c_acctbal < 5000 THEN 'needs_manual_review'
                 ELSE 'termination_confirmed' END AS status,
            c_custkey AS position
-    FROM {{customer}} WHERE c_mktsegment <> 'FURNITURE'
+    FROM {{customer}}
     UNION ALL
     SELECT {_native("c_custkey")} AS award_ref, 'continued' AS status,
            1000000000000 + c_custkey AS position
@@ -252,7 +251,10 @@ CLAIM_ITEMS = f"""
             WHEN 4 THEN {_str(_DAY)} || 'T10:11:12'
             WHEN 5 THEN ' ' || lpad({_str(_M)}, 2, '0') || '/' || lpad({_str(_D)}, 2, '0') || '/'
                 || {_str(_Y)} || ' '
-            ELSE 'Q3 ' || {_str(_Y)} END AS date_text,
+            ELSE CASE o_orderkey % 4 WHEN 0 THEN {_str(_M)} || '/ ' || {_str(f"{_D} % 9 + 1")} || '/' || {_str(_Y)}
+                WHEN 1 THEN {_str(_Y)} || '-W' || lpad({_str(f"{_D} + 20")}, 2, '0') || '-' || {_str(f"{_D} % 7 + 1")}
+                WHEN 2 THEN ' ' || {_str(f"{_D} % 9 + 1")} || '-' || {_MONTHS.format(d=_DAY)} || '-' || {_str(_Y)}
+                ELSE 'Q3 ' || {_str(_Y)} END END AS date_text,
         CASE WHEN o_orderstatus = 'F' THEN
             CASE o_orderkey % 6 WHEN 0 THEN 'https://usaspending.example/award/ASST_NON_'
                     || {_native("o_custkey")} || '_8000'
@@ -270,7 +272,9 @@ CLAIM_ITEMS = f"""
                 WHEN 2 THEN 'https://fpds.example/search?s=FPDS&XPIID=9'
                 WHEN 3 THEN 'https://fpds.example/search?PIID=%57'
                     || lpad({_str("o_custkey")}, 8, '0') || '&PIID=second'
-                WHEN 4 THEN NULL ELSE 'https://fpds.example/no/query' END
+                WHEN 4 THEN CASE WHEN o_orderkey % 5 = 0 THEN 'https://fpds.example/search?PIID=%57'
+                    || lpad({_str("o_custkey")}, 8, '0') || '%ZZ%4' END
+                ELSE 'https://fpds.example/no/query' END
         END AS link,
         CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE ' Deleted' END AS status_text
     FROM {{orders}}
