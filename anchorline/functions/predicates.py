@@ -1,7 +1,7 @@
 """Classifiers as boolean columns.
 
-Text predicates are applied per description, never to a concatenation: a reversal
-word in one entry must not pair with a termination subject in another.
+Those of text look at one row's text. Joined texts would let words of different actions
+match together.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def _has_subject(text: ColumnLike) -> Column:
 
 
 def is_reversal(text: ColumnLike) -> Column:
-    """A reversal word and a termination subject in the same text."""
+    """The text has a word of undoing and, somewhere, what is undone."""
     return _has_subject(text) & _matches(text, V.REVERSAL_PATTERN)
 
 

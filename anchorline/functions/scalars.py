@@ -45,15 +45,14 @@ def collapse_ws(c: ColumnLike) -> Column:
 
 
 def code(c: ColumnLike) -> Column:
-    """A wire code as published: trimmed, upper-cased, blank when missing."""
+    """A code in capitals without surrounding white space; a null one is the empty text."""
     return F.upper(strip(blank(c)))
 
 
 def mod_sort_key(c: ColumnLike) -> Column:
-    """A modification number that sorts in issue order as text.
+    """Text whose plain order is the order of the numbers inside it.
 
-    Digit runs shorter than eight are left-padded with zeros; longer runs and the
-    text between runs stay as they are.
+    Every run of fewer than eight digits gets zeros in front, up to eight; all else stays.
     """
     runs = F.regexp_extract_all(blank(c), F.lit(r"((?U)\d+|\D+)"), F.lit(1))
     padded = F.transform(

@@ -11,6 +11,7 @@ from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
 from anchorline.operators.adjudicate import accept_awards, history_order
+from anchorline.operators.skew import salted_join
 from anchorline.schemas import MONEY
 from anchorline.sources.ledger import pop_location, recipient_location, rollup_facts
 from anchorline.sources.staging import Staging
@@ -122,9 +123,9 @@ def follow_up(txn: DataFrame, anchors: DataFrame, *, start: date, today: date) -
     filed = named.groupBy("award_id").agg(F.max("award_key").alias("anchor_key"))
     earliest = anchors.agg(F.min("action_date").alias("day")).scalar()
     window = F.col("action_date").between(F.lit(start), F.lit(today))
+    since = txn.where(window & (F.col("action_date") >= earliest))
     return (
-        txn.where(window & (F.col("action_date") >= earliest))
-        .join(filed, "award_id")
+        salted_join(since, filed, ["award_id"], "inner", spread=F.col("ingest_seq"))
         .withColumn("award_key", F.col("anchor_key"))
         .drop("anchor_key")
         .select(txn.columns)
@@ -213,8 +214,13 @@ def enrich_two_key(
         F.col("id").alias("generated_award_id"), F.col("details").alias("by_generated")
     )
     by_native = filed.select(F.col("id").alias("award_id"), F.col("details").alias("by_native"))
+    # Blank ids match nothing and would all meet in one task, so they do not join.
+    details_type = by_generated.schema["by_generated"].dataType
+    named = accepted.where(F.col("generated_award_id") != "")
+    nameless = accepted.where(F.col("generated_award_id") == "")
     chosen = (
-        accepted.join(by_generated, "generated_award_id", "left")
+        named.join(by_generated, "generated_award_id", "left")
+        .unionByName(nameless.withColumn("by_generated", F.lit(None).cast(details_type)))
         .join(by_native, "award_id", "left")
         .withColumn("found", F.coalesce("by_generated", "by_native"))
     )

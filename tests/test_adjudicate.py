@@ -16,28 +16,29 @@ DESCOPE = "stop work notice, intent to descope"
 
 #: Scenario: rows as (day, code, text, order key), and the row number that stands.
 SCENARIOS = {
-    "code alone": ([("2025-06-01", "F", "admin", "")], 0),
-    "bare N": ([("2025-06-01", "N", "option", "")], None),
-    "cause with F": ([("2025-06-01", "F", "terminated for cause", "")], None),
-    "rescinded": ([("2025-06-01", "F", STOP, ""), ("2025-07-01", "", RESCIND, "")], None),
+    "code alone": ([("2025-11-03", "F", "admin", "")], 0),
+    "bare N": ([("2025-11-03", "N", "option", "")], None),
+    "cause with F": ([("2025-11-03", "F", "terminated for cause", "")], None),
+    "rescinded": ([("2025-10-02", "F", STOP, ""), ("2025-10-09", "", RESCIND, "")], None),
     "rescinded, then again": (
-        [("2025-09-15", "F", FULL, ""), ("2025-07-01", "", RESCIND, ""), ("2025-06-01", "F", STOP, "")], 0),
-    "first of two codes": ([("2026-07-30", "F", "settlement", ""), ("2025-05-01", "F", FULL, "")], 1),
-    "code supersedes text": ([("2025-05-01", "F", FULL, ""), ("2025-03-18", "M", STOP, "")], 0),
-    "text supersedes de-scope": ([("2025-09-15", "", FULL, ""), ("2025-03-18", "M", DESCOPE, "")], 0),
-    "de-scope alone": ([("2025-03-18", "M", DESCOPE, "")], 0),
-    "coded de-scope holds": ([("2025-09-15", "", FULL, ""), ("2025-05-01", "F", DESCOPE, "")], 1),
-    "vacated": ([("2025-06-01", "F", FULL, ""), ("2025-08-01", "", "termination vacated", "")], None),
-    "reversal first": ([("2025-03-01", "", RESCIND, ""), ("2025-06-01", "F", "admin", "")], 1),
+        [("2026-01-13", "F", FULL, ""), ("2025-12-12", "", RESCIND, ""), ("2025-11-11", "F", STOP, "")], 0),
+    "first of two codes": ([("2026-03-03", "F", "settlement", ""), ("2025-02-02", "F", FULL, "")], 1),
+    "code supersedes text": ([("2025-12-24", "F", FULL, ""), ("2025-12-01", "M", STOP, "")], 0),
+    "text supersedes de-scope": ([("2026-02-20", "", FULL, ""), ("2025-04-04", "M", DESCOPE, "")], 0),
+    "de-scope alone": ([("2025-04-04", "M", DESCOPE, "")], 0),
+    "coded de-scope holds": ([("2026-02-20", "", FULL, ""), ("2025-04-28", "F", DESCOPE, "")], 1),
+    "vacated": ([("2025-02-14", "F", FULL, ""), ("2026-02-14", "", "termination vacated", "")], None),
+    "reversal first": ([("2025-02-10", "", RESCIND, ""), ("2025-02-11", "F", "admin", "")], 1),
     "before the window": ([("2025-01-19", "F", FULL, "")], None),
+    "on the window's day": ([("2025-01-20", "F", FULL, "")], 0),
     "same day, rescinded after": (
-        [("2025-06-01", "", "rescind the stop work order", "0002"), ("2025-06-01", "F", STOP, "0001")], None),
+        [("2025-10-31", "", "rescind the stop work order", "0008"), ("2025-10-31", "F", STOP, "0003")], None),
     "same day, terminated after": (
-        [("2025-06-01", "", "rescind the stop work order", "0002"), ("2025-06-01", "F", STOP, "0003")], 1),
+        [("2025-10-31", "", "rescind the stop work order", "0008"), ("2025-10-31", "F", STOP, "0021")], 1),
     "tie keeps arrival order": (
-        [("2025-06-01", "F", STOP, "1"), ("2025-06-01", "", RESCIND, "1")], None),
-    "undated reset comes first": ([(None, "", RESCIND, ""), ("2025-06-01", "F", "admin", "")], 1),
-    "no termination": ([("2025-06-01", "", "admin", "")], None),
+        [("2025-10-31", "F", STOP, "7"), ("2025-10-31", "", RESCIND, "7")], None),
+    "undated reset comes first": ([(None, "", RESCIND, ""), ("2025-08-19", "F", "admin", "")], 1),
+    "no termination": ([("2025-08-19", "", "admin", "")], None),
 }
 
 
@@ -162,3 +163,31 @@ def test_publish_order(spark):
         row("D", source="api", when=None), row("E", source="api", when="2025-02-01"),
     ])
     assert [r.award_key for r in A.publish_order(frame).collect()] == ["C", "A", "B", "E", "D"]
+
+
+def test_a_signal_that_is_no_candidate_anchors_with_its_award(spark, staging):
+    """A vehicle by its id alone: its coded row is a signal, and another row a candidate."""
+    book = [
+        action(1, "2025-09-02", generated="CONT_IDV_A1", is_fpds=False, type=None, code="F"),
+        action(2, "2025-10-02", generated="CONT_IDV_A1", is_fpds=False, type=None, text=STOP),
+        action(3, "2025-09-02", award=2, piid="B1", generated="CONT_IDV_B1", is_fpds=None, type=None, code="F"),
+    ]
+    history = L.normalise_ledger(L.ledger_scan(ledger(spark, book), start=START))
+    fused = A.accept_candidates(history, start=START, staging=staging)
+    rejoined = A.accept_awards(A.candidate_history(history), start=START)
+    assert values(fused, "award_key", "ingest_seq") == values(rejoined, "award_key", "ingest_seq")
+    assert values(fused, "ingest_seq") == [(1,)]
+    assert values(G.containment_breaches(history, start=START), "ingest_seq") == [(1,), (3,)]
+    counts = {r.check: r.found for r in G.breach_counts(history, start=START).collect()}
+    assert counts["accepted, not candidates"] == 2
+
+
+def test_publish_order_with_ties_and_nulls(spark):
+    rows = [
+        txn(1, None, key="B"), txn(2, "2025-07-07", key="C"), txn(3, "2025-07-07", key="A"),
+        txn(4, None, key="A"), txn(5, "2025-07-08", key="Z"),
+    ]
+    ordered = A.publish_order(A.publish_rows(txns(spark, rows).repartition(4)))
+    assert [(r.award_key, str(r.action_date)) for r in ordered.collect()] == [
+        ("Z", "2025-07-08"), ("A", "2025-07-07"), ("C", "2025-07-07"), ("A", "None"), ("B", "None"),
+    ]

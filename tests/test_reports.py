@@ -100,3 +100,15 @@ def test_rulings_and_descope_apply(spark):
 
 def test_no_history_still_fills_every_year(spark):
     assert counts(spark, rows(spark, []), first=2024) == {2024: 0, 2025: 0, 2026: 0}
+
+
+def test_pullback_order_with_ties(spark):
+    history = []
+    for n, end in ((3, "2026-01-01"), (1, "2026-01-01"), (2, "2026-03-01"), (4, "2026-01-01")):
+        history += [dated(10 * n, "2024-01-01", "2027-01-01", award=n), dated(10 * n + 1, "2025-03-01", end, award=n)]
+    history += [{**h, "award_id": 9, "piid": "P1", "generated_unique_award_id": "CONT_AWD_A"} for h in history[2:4]]
+    found = reports.pullbacks(reports.end_date_history(ledger(spark, history)), rollup(spark, []), start=START)
+    ordered = reports.pullback_order(found.repartition(3)).collect()
+    assert [(r.award_id, r.generated_award_id) for r in ordered] == [
+        ("P1", "CONT_AWD_A"), ("P1", "CONT_AWD_P1"), ("P3", "CONT_AWD_P3"), ("P4", "CONT_AWD_P4"), ("P2", "CONT_AWD_P2"),
+    ]

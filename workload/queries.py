@@ -601,39 +601,44 @@ def _(t: Tables) -> DataFrame:
 
 
 def _pullback_sql(raw: str, rollup: str, start: str, since: str) -> str:
-    """Pull-backs by ordered aggregates."""
-    order = "ORDER BY action_date {0}, sort_key {0} {1}, ingest_seq {0}"
+    """Pull-backs by rank: an award's dated actions numbered once, the ends of that numbering
+    taken by number, and its totals joined to them."""
     return Q.with_(
         raw,
         rollup,
         Q.FACTS,
-        f"""txns AS (
-            SELECT award_id, {Q.NATIVE} AS native, generated_unique_award_id AS generated,
-                transaction_unique_id AS sort_key, is_fpds, type, action_date, recipient_name,
-                coalesce(period_of_performance_current_end_date,
-                    CAST(nullif(trim(ordering_period_end_date), '') AS DATE)) AS end_date, ingest_seq
+        f"""history AS (
+            SELECT *, coalesce(period_of_performance_current_end_date,
+                TRY_CAST(nullif(trim(ordering_period_end_date), '') AS DATE)) AS ends_on
             FROM raw WHERE awarding_agency_id = 862 AND action_date >= {since})""",
-        f"""agg AS (
-            SELECT award_id, max(native) AS native, max(generated) AS generated, max(type) AS type,
-                bool_or(is_fpds) AS is_fpds, max(recipient_name) AS recipient_name,
-                first(end_date {order.format("ASC", "NULLS LAST")})
-                    FILTER (WHERE end_date IS NOT NULL) AS original_end_date,
-                first(end_date {order.format("DESC", "NULLS FIRST")})
-                    FILTER (WHERE end_date IS NOT NULL) AS current_end_date,
-                max(end_date) AS max_end_date, max(action_date) AS last_action_date,
-                count(*) AS transaction_count
-            FROM txns GROUP BY award_id HAVING max(action_date) >= {start})""",
-        select=f"""SELECT trim(coalesce(native, '')) AS award_id,
-                trim(coalesce(generated, '')) AS generated_award_id,
-                {Q.award_type("type", "generated", "is_fpds")} AS award_type,
-                upper(trim(coalesce(type, ''))) AS award_type_code,
-                coalesce(recipient_name, '') AS recipient_name, {Q.fact_cells()},
+        """dated AS (
+            SELECT award_id, ends_on, count(*) OVER (PARTITION BY award_id) AS seats,
+                row_number() OVER (PARTITION BY award_id
+                    ORDER BY action_date, transaction_unique_id NULLS LAST, ingest_seq) AS seat
+            FROM history WHERE ends_on IS NOT NULL)""",
+        f"""shortened AS (
+            SELECT award_id, min(CASE WHEN seat = 1 THEN ends_on END) AS original_end_date,
+                min(CASE WHEN seat = seats THEN ends_on END) AS current_end_date,
+                max(ends_on) AS max_end_date
+            FROM dated GROUP BY award_id
+            HAVING max(ends_on) - min(CASE WHEN seat = seats THEN ends_on END) > {V.MIN_PULLBACK_DAYS}
+                AND min(CASE WHEN seat = seats THEN ends_on END) >= {start})""",
+        f"""totals AS (
+            SELECT award_id AS id, trim(coalesce(max({Q.NATIVE}), '')) AS native,
+                coalesce(max(generated_unique_award_id), '') AS generated, max(type) AS kind,
+                coalesce(bool_or(is_fpds), false) AS procured,
+                coalesce(max(recipient_name), '') AS recipient_name,
+                max(action_date) AS last_action_date, count(*) AS transaction_count
+            FROM history GROUP BY award_id)""",
+        select=f"""SELECT native AS award_id, trim(generated) AS generated_award_id,
+                {Q.award_type("kind", "generated", "procured")} AS award_type,
+                upper(trim(coalesce(kind, ''))) AS award_type_code, recipient_name, {Q.fact_cells()},
                 original_end_date, max_end_date, current_end_date,
                 CAST(max_end_date - current_end_date AS INTEGER) AS days_shortened,
                 last_action_date, transaction_count
-            FROM agg LEFT JOIN facts f ON f.fact_id = agg.award_id
-            WHERE max_end_date - current_end_date > {V.MIN_PULLBACK_DAYS}
-                AND current_end_date >= {start}""",
+            FROM shortened s JOIN totals t ON t.id = s.award_id
+            LEFT JOIN facts f ON f.fact_id = s.award_id
+            WHERE last_action_date >= {start}""",
     )
 
 
@@ -687,8 +692,9 @@ def _(t: Tables) -> DataFrame:
         first_day=reports.fiscal_year_start(T.FIRST_FISCAL_YEAR),
         staging=Staging(t.spark),
     )
+    rulings = Staging(t.spark).table(overrides(t), "rulings")
     return reports.count_by_fiscal_year(
-        rows, overrides(t), first_fiscal_year=T.FIRST_FISCAL_YEAR, today=T.LINES_TODAY
+        rows, rulings, first_fiscal_year=T.FIRST_FISCAL_YEAR, today=T.LINES_TODAY
     )
 
 
