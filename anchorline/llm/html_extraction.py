@@ -24,6 +24,8 @@ CHUNK = 1 << 16
 SIGMA, RADIUS = 1.0, 2
 #: A region without an article or main element holds this share of the content at least.
 SHARE = 0.8
+#: There, a line that is not content stays unless so much of it is links.
+LINKED = 0.5
 
 #: Element names by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,16 +68,19 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open = Element("", None, _KEPT, False)
         self.root = self.open
-        self.lines: list[tuple[str, int, Element]] = []
+        self.lines: list[tuple[str, int, Element, float]] = []
         self.pieces: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
+        self.links = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         self.pieces.clear()
         if text:
-            self.lines.append((text, self.tags, self.open))
+            share = min(self.linked / len(text), 1.0)
+            self.lines.append((text, self.tags, self.open, share))
             self.tags = 0
+        self.linked = 0
 
     def mark(self, tag: str, attrs: list) -> int:
         above = self.open.mark
@@ -110,6 +115,7 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        self.links += tag == "a"
         if tag == "br":
             self.pieces.append(" ")
         if tag in BLOCK:
@@ -137,6 +143,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        self.links = max(self.links - (tag == "a"), 0)
         if tag in BLOCK:
             self.flush()
         at = self.open
@@ -150,6 +157,8 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if self.open.mark != _DROPPED:
             self.pieces.append(data)
+            if self.links:
+                self.linked += len(data.strip())
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -169,13 +178,13 @@ def main_text(html: str) -> str:
     lines = [x for x in page.lines if x[2].mark == _KEPT]
     if not lines:
         return ""
-    sizes = np.array([len(text) for text, _, _ in lines], float)
-    ratios = smoothed(sizes / np.maximum([tags for _, tags, _ in lines], 1))
+    sizes = np.array([len(text) for text, *_ in lines], float)
+    ratios = smoothed(sizes / np.maximum([tags for _, tags, *_ in lines], 1))
     content = ratios >= ratios.std()
     if not content.any():
         content[:] = True
     mass: dict[Element, float] = {}
-    for size, is_content, (_, _, element) in zip(sizes, content, lines, strict=True):
+    for size, is_content, (_, _, element, _) in zip(sizes, content, lines, strict=True):
         at = element
         while at is not None:
             mass[at] = mass.get(at, 0.0) + (size if is_content else 1e-6 * size)
@@ -191,12 +200,13 @@ def main_text(html: str) -> str:
         depth = {e: sum(1 for _ in ancestors(e)) for e in enough}
         containers = [e for e in enough if e.tag in BLOCK] or [page.root]
         region = max(containers, key=lambda e: depth.get(e, 0))
-    out = [
-        (text, is_content)
-        for (text, _, element), is_content in zip(lines, content, strict=True)
-        if region in ancestors(element)
-    ]
-    return "\n".join(text for text, is_content in out if is_content or region.home)
+    whole_page = region.tag in ("", "html", "body")
+    out = []
+    for (text, _, element, link_share), is_content in zip(lines, content, strict=True):
+        plain = not whole_page and link_share < LINKED
+        if region in ancestors(element) and (region.home or is_content or plain):
+            out.append(text)
+    return "\n".join(out)
 
 
 def ancestors(element: Element):
@@ -211,7 +221,7 @@ def extract(pages: DataFrame) -> DataFrame:
     Null and empty pages, and pages without visible text, have an empty text. Null ids and
     urls stay null, repeated rows repeat, an empty table gives no row. Other columns are not
     read. Inside an article or main element every line stays that no tag or class name
-    marks; in other pages the lines of the region that are content.
+    marks; in other pages the lines of the region that are content or hardly linked.
     """
 
     def rows(batches):
