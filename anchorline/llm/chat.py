@@ -144,3 +144,29 @@ def _digests(parts: Iterator[tuple]) -> tuple:
             at = m.end()
         rest = rest[at:]
     return n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), chars
+
+
+#: read_back over render_conversations in DuckDB, for tables whose turns have an id.
+SQL = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, turn, role, '</s>[INST] ok [/INST]'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) AS probe(turn, role)
+), sized AS (
+  SELECT *,
+    length(text) + 4 * (length(text) - length(translate(text, '&[]', '')))
+      + 3 * (length(text) - length(replace(text, '<', ''))) AS text_size,
+    length(role) + 4 * (length(role) - length(translate(role, '&[]', '')))
+      + 3 * (length(role) - length(replace(role, '<', ''))) AS role_size
+  FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(text_size + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 9
+    ELSE 14 + role_size END) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -288,3 +288,81 @@ def scan(files: DataFrame, staging: Staging) -> DataFrame:
         .alias("how"),
         F.coalesce("header.score", "whole.score", F.lit(0.0)).alias("score"),
     )
+
+
+def _template_rows() -> str:
+    return ", ".join(
+        "({}, '{}', '{}')".format(i, name, text.replace("'", "''"))
+        for i, (name, text) in enumerate(TEMPLATES)
+    )
+
+
+def oracle_sql(files: str) -> str:
+    """The same result in DuckDB over a query that gives doc_id, path and text."""
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all(lower({text}), '{TOKEN}')"
+
+    return f"""
+WITH files AS (
+  SELECT doc_id, coalesce(path, '') AS path, coalesce(text, '') AS text FROM ({files})
+), templates(id, license, text) AS (VALUES {_template_rows()}),
+size AS (SELECT count(*) AS n FROM files),
+told AS (
+  SELECT id, word, count(*) AS tf
+  FROM (SELECT id, unnest({words("text")}) AS word FROM templates) GROUP BY 1, 2
+), idf AS (
+  SELECT v.word, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf
+  FROM (SELECT DISTINCT word FROM told) v CROSS JOIN size
+  LEFT JOIN (
+    SELECT word, count(*) AS df
+    FROM (SELECT unnest(list_distinct({words("text")})) AS word FROM files) GROUP BY 1
+  ) d ON d.word = v.word
+), vectors AS (
+  SELECT id, word, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY id)) AS share
+  FROM told JOIN idf USING (word)
+), parts AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line,
+         unnest(string_split(text, chr(10))) AS part
+  FROM (SELECT DISTINCT doc_id, text FROM files)
+  UNION ALL SELECT DISTINCT doc_id, -1, text FROM files
+), counted AS (
+  SELECT doc_id, line, word, count(*) AS tf
+  FROM (SELECT doc_id, line, unnest({words("part")}) AS word FROM parts) GROUP BY 1, 2, 3
+), weighed AS (
+  SELECT c.*, tf * coalesce(idf, ln(1 + n) + 1) AS weight
+  FROM counted c CROSS JOIN size LEFT JOIN idf USING (word)
+), lengths AS (
+  SELECT doc_id, line, sqrt(sum(weight * weight)) AS length FROM weighed GROUP BY 1, 2
+), cosines AS (
+  SELECT w.doc_id, w.line, v.id, round(sum(weight * share) / any_value(length), 6) AS score
+  FROM weighed w JOIN vectors v USING (word)
+  JOIN lengths l ON l.doc_id = w.doc_id AND l.line = w.line GROUP BY 1, 2, 3
+), best AS (
+  SELECT c.doc_id, c.line, c.score, t.license
+  FROM cosines c JOIN templates t ON t.id = c.id
+  QUALIFY row_number() OVER (PARTITION BY c.doc_id, c.line ORDER BY c.score DESC, c.id) = 1
+), headers AS (
+  SELECT * FROM best WHERE line >= 0 AND score >= {HEADER}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line) = 1
+), judged AS (
+  SELECT f.doc_id, f.path, regexp_replace(f.path, '(^|/)[^/]*$', '') AS folder,
+         h.license AS header, h.score AS header_score, w.license AS whole, w.score AS whole_score
+  FROM files f LEFT JOIN headers h ON h.doc_id = f.doc_id
+  LEFT JOIN best w ON w.doc_id = f.doc_id AND w.line = -1 AND (
+    w.score >= {FILE} OR w.score > 0 AND regexp_matches(f.path, '{FILE_NAMES}'))
+), given AS (
+  SELECT folder AS source, whole AS license FROM judged WHERE whole IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY folder ORDER BY whole_score DESC, path, whole) = 1
+), nearest AS (
+  SELECT f.folder, g.license AS inherited
+  FROM (SELECT DISTINCT folder FROM judged) f
+  JOIN given g ON g.source = '' OR f.folder = g.source OR starts_with(f.folder, g.source || '/')
+  QUALIFY row_number() OVER (PARTITION BY f.folder ORDER BY length(g.source) DESC) = 1
+)
+SELECT doc_id, path, coalesce(header, whole, inherited) AS license,
+       CASE WHEN header IS NOT NULL THEN 'header' WHEN whole IS NOT NULL THEN 'file'
+            WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
+       coalesce(header_score, whole_score, 0.0) AS score
+FROM judged LEFT JOIN nearest USING (folder)
+"""

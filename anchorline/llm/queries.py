@@ -79,6 +79,12 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, Staging(spark))
 
 
+ORACLES["op7_licenses"] = licenses.oracle_sql(
+    "SELECT doc_id, text, source || '/' || regexp_replace(CAST(doc_id // 10 AS VARCHAR), "
+    "'([0-9])', '\\1/', 'g') || CAST(doc_id AS VARCHAR) || '.txt' AS path FROM documents"
+)
+
+
 @query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"), Staging(spark))
@@ -98,3 +104,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.render_conversations(rows.unionByName(probe)))
+
+
+ORACLES["op10_chat"] = chat.SQL
