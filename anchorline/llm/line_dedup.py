@@ -55,8 +55,9 @@ def later_lines(docs: DataFrame, staging: Staging) -> DataFrame:
     """Per document the numbers of full lines that later occurrences cover.
 
     The first occurrences come from one aggregation that combines before it shuffles. Windows
-    found once drop out there, so that the join back meets repeated windows only; a window
-    that a third of all rows share is one row on one side, and the other side splits.
+    found once drop out there, so that the join back meets repeated windows only. Both sides
+    of that join are stored tables, so that adaptive execution can split a window that a
+    third of all rows share: it is one row on one side.
     """
     every = staging.table(windows(docs), "windows")
     first = (
@@ -65,6 +66,7 @@ def later_lines(docs: DataFrame, staging: Staging) -> DataFrame:
         .where(~F.col("first").eqNullSafe(F.col("last")))
         .drop("last")
     )
+    first = staging.table(first, "first")
     same = F.lit(True)
     for name in KEY:
         same = same & F.col(name).eqNullSafe(F.col(f"first.{name}"))
