@@ -67,7 +67,7 @@ def shingles(texts: pa.Array, known: Known) -> tuple[np.ndarray, np.ndarray, lis
     """Elements of all texts' bags, the text of each, sorted by both, and a digest per text.
 
     A text of one to four words has one shingle, all its words; one without words has none.
-    Two texts have the same digest if their words are the same.
+    Two texts have the same digest if their words are the same, or, without words, their signs.
     """
     bounds, codes, words = split_words(texts)
     hashes = known(words).view(np.uint64)[codes] if len(codes) else np.array([], np.uint64)
@@ -75,8 +75,8 @@ def shingles(texts: pa.Array, known: Known) -> tuple[np.ndarray, np.ndarray, lis
     bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
     hashes = hashes[full]
     digests = [
-        xxhash.xxh3_128_digest(hashes[a:b].tobytes())
-        for a, b in pairwise(bounds.tolist())
+        xxhash.xxh3_128_digest(hashes[a:b].tobytes() or texts[i].as_py().strip())
+        for i, (a, b) in enumerate(pairwise(bounds.tolist()))
     ]
     size = np.diff(bounds)
     padded = np.concatenate([hashes, np.zeros(WORDS, np.uint64)])
@@ -167,10 +167,11 @@ def side(df: DataFrame, end: str, column: str) -> DataFrame:
     return df.select(*names).withColumnsRenamed(names)
 
 
-def bucket_rows(nodes: DataFrame) -> DataFrame:
+def bucket_rows(nodes: DataFrame, staging: Staging) -> DataFrame:
     """Texts in buckets of two or more, with the bucket's leader: the smallest document id.
 
-    The leaders come from one aggregation that combines before it shuffles.
+    The leaders come from one aggregation that combines before it shuffles. They are stored,
+    so that adaptive execution can split a bucket that many texts share.
     """
 
     def turned(by: int) -> Column:
@@ -192,7 +193,7 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
         .where(F.col("first") != F.col("last"))
         .select("band", "h0", F.col("first.doc_b").alias("doc_a"), F.col("first.node_b").alias("node_a"))
     )
-    return rows.join(leaders, ["band", "h0"])
+    return rows.join(staging.table(leaders, "leaders"), ["band", "h0"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -233,7 +234,7 @@ def near_pairs(nodes: DataFrame, staging: Staging) -> DataFrame:
     (1 + NEIGHBOURS) * n pairs, and every pair where n is at most NEIGHBOURS + 1, unless a
     task ends inside it. In each pair the smaller document id comes first.
     """
-    rows = staging.table(bucket_rows(nodes), "buckets")
+    rows = staging.table(bucket_rows(nodes, staging), "buckets")
     for end in "ba":
         rows = rows.join(side(nodes, end, "signature"), [f"doc_{end}", f"node_{end}"])
     order = ["band", "h0", "h1", "h2", "node_b"]
@@ -348,8 +349,8 @@ def classes(docs: DataFrame, staging: Staging) -> DataFrame:
 def near_classes(docs: DataFrame, staging: Staging) -> DataFrame:
     """Per document its class: doc_id, class_id (its smallest id), kept (it is the class's first).
 
-    Null and empty texts have the same words, none, and form one class. Texts of one to four
-    words are alike if all their words are. Null ids come last; a class of them alone has a
+    Null, empty and blank texts form one class. Texts of signs alone are alike if they are
+    equal, and texts of one to four words if all their words are. Null ids come last; a class of them alone has a
     null class_id. Rows equal in id and text are all first if one is. An empty table gives no
     row. Columns other than `doc_id` and `text` are not read.
     """

@@ -111,6 +111,8 @@ def test_odd_rows(spark, staging):
     assert found[2, 2, True] == found[3, 2, False] == found[4, 2, False] == 1
     assert found[None, None, True] == 1  # a text of its own without an id
     assert found[None, 2, False] == 1  # a null text is an empty one
+    signs = classes(spark, staging, [(1, "!!!"), (2, "???"), (3, " !!! "), (4, "")])
+    assert signs == {1: 1, 2: 2, 3: 1, 4: 4}
     stage = near_dedup.one_of_each(documents(spark, ODD, extra=True), staging)
     assert stage.columns == documents(spark, ODD, extra=True).columns
     kept = sorted((r.doc_id for r in stage.collect()), key=repr)
