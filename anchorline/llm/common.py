@@ -68,7 +68,7 @@ def arrow_map(
     return df.mapInArrow(run, schema)
 
 
-def blocks(texts: pa.Array, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
+def blocks(texts: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Index ranges of a text column of about `size` bytes each, of one row at least."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = total = 0

@@ -25,7 +25,7 @@ from anchorline.sources.staging import Staging
 WINDOW = 4096
 END = 2
 #: Bytes of text tokenised at a time.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
 #: Words whose ids a Python worker remembers.
 WORDS = 1_000_000
 #: Signs that form a token of their own after a word. An apostrophe may not: it starts endings.
