@@ -26,8 +26,12 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 K = BANDS * ROWS
-#: Texts are sorted within a bucket; each is held against so many before it.
+#: In the first pass texts are sorted within a bucket; each is held against so many before it.
 NEIGHBOURS = 3
+#: In the second pass the texts of a bucket meet in tiles of two blocks of about so many.
+TILE = 512
+#: Elements of bags that a tile looks up at a time.
+LOOKUP = 1 << 20
 #: Bytes of text that a task signs at a time.
 BLOCK = 1 << 22
 #: Pairs whose signatures agree in a smaller share are not checked: five standard deviations.
@@ -168,7 +172,7 @@ def side(df: DataFrame, end: str, column: str) -> DataFrame:
 
 
 def bucket_rows(nodes: DataFrame, staging: Staging) -> DataFrame:
-    """Texts in buckets of two or more, with the bucket's leader: the smallest document id.
+    """Texts in buckets of two or more, with the bucket's size and leader: the smallest id.
 
     The leaders come from one aggregation that combines before it shuffles. They are stored,
     so that adaptive execution can split a bucket that many texts share.
@@ -189,9 +193,12 @@ def bucket_rows(nodes: DataFrame, staging: Staging) -> DataFrame:
         .agg(
             F.min(F.struct("doc_b", "node_b")).alias("first"),
             F.max(F.struct("doc_b", "node_b")).alias("last"),
+            F.count(F.lit(1)).alias("n"),
         )
         .where(F.col("first") != F.col("last"))
-        .select("band", "h0", F.col("first.doc_b").alias("doc_a"), F.col("first.node_b").alias("node_a"))
+        .select(
+            "band", "h0", "n", F.col("first.doc_b").alias("doc_a"), F.col("first.node_b").alias("node_a")
+        )
     )
     return rows.join(staging.table(leaders, "leaders"), ["band", "h0"])
 
@@ -226,15 +233,14 @@ def _near_pairs(batches):
         buckets, signs, texts = buckets[-NEIGHBOURS:], signs[-NEIGHBOURS:], texts[-NEIGHBOURS:]
 
 
-def near_pairs(nodes: DataFrame, staging: Staging) -> DataFrame:
-    """Distinct pairs of texts whose signatures agree often enough, by (doc, node) of each.
+def near_pairs(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Distinct pairs of the first pass whose signatures agree often enough, by (doc, node).
 
     In each bucket of a band every text meets the leader, and the texts just before it when
     the bucket is sorted by the next bands. A bucket of n texts so gives at most
-    (1 + NEIGHBOURS) * n pairs, and every pair where n is at most NEIGHBOURS + 1, unless a
-    task ends inside it. In each pair the smaller document id comes first.
+    (1 + NEIGHBOURS) * n pairs. `other_links` tests the rest. In each pair the smaller
+    document id comes first.
     """
-    rows = staging.table(bucket_rows(nodes, staging), "buckets")
     for end in "ba":
         rows = rows.join(side(nodes, end, "signature"), [f"doc_{end}", f"node_{end}"])
     order = ["band", "h0", "h1", "h2", "node_b"]
@@ -265,17 +271,9 @@ def _similar(batches):
         }
 
 
-def links(signs: DataFrame, staging: Staging) -> DataFrame:
-    """Pairs of different texts whose weighted Jaccard similarity is SIMILARITY or more."""
-    nodes = staging.table(
-        signs.groupBy("node").agg(
-            F.min("doc").alias("doc"),
-            F.first("bands").alias("bands"),
-            F.first("signature").alias("signature"),
-        ),
-        "nodes",
-    )
-    near = staging.table(near_pairs(nodes, staging), "near")
+def first_links(signs: DataFrame, nodes: DataFrame, rows: DataFrame, staging: Staging) -> DataFrame:
+    """Pairs of the first pass whose weighted Jaccard similarity is SIMILARITY or more."""
+    near = staging.table(near_pairs(nodes, rows), "near")
     # The bag of the later text travels to that of the earlier, which many pairs may share.
     for end in "ba":
         near = near.join(side(signs, end, "bag"), [f"doc_{end}", f"node_{end}"])
@@ -283,6 +281,140 @@ def links(signs: DataFrame, staging: Staging) -> DataFrame:
     return arrow_map(checked, "node_a binary, node_b binary", _similar)
 
 
+def _tiles(batches):
+    """The rows of each tile of sorted rows, as one Arrow table."""
+    key, held = None, []
+    for batch in batches:
+        keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(TILE_KEY))], strict=True))
+        cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+        for a, b in pairwise(cuts):
+            if a == b:
+                continue
+            if keys[a] != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = keys[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _possible(tile: pa.Table):
+    """Classes of a tile's texts, and a function: a text's possible partners after it.
+
+    Partners are of another class and, in a tile of two blocks, of the other block; their
+    bags have a fitting size, the signatures agree often enough, and no band before this one
+    has brought the two together.
+    """
+    column = {c: tile.column(c).combine_chunks() for c in tile.column_names}
+    n = len(tile)
+    _, label = np.unique(np.array(column["label"].to_pylist(), "S32"), return_inverse=True)
+    signs = _matrix(column["signature"])
+    before = column["bands"].flatten().to_numpy().reshape(n, BANDS)[:, : tile["band"][0].as_py()]
+    size, block = column["size"].to_numpy(), column["block"].to_numpy()
+    two = tile["i"][0].as_py() != tile["j"][0].as_py()
+
+    def partners(x: int) -> np.ndarray:
+        fit = np.minimum(size[x], size[x + 1 :]) >= SIMILARITY * np.maximum(size[x], size[x + 1 :])
+        fit &= label[x + 1 :] != label[x]
+        if two:
+            fit &= block[x + 1 :] != block[x]
+        at = np.flatnonzero(fit) + x + 1
+        at = at[(signs[at] == signs[x]).sum(axis=1) >= ESTIMATE * K]
+        return at[~(before[at] == before[x]).any(axis=1)]
+
+    return label, partners
+
+
+def _with_partners(batches):
+    """The rows of texts that have a possible partner in their tile."""
+    for tile in _tiles(batches):
+        _, partners = _possible(tile)
+        some = np.zeros(len(tile), bool)
+        for x in range(len(tile) - 1):
+            at = partners(x)
+            some[at] = True
+            some[x] |= len(at) > 0
+        kept = tile.filter(pa.array(some)).combine_chunks()
+        yield {c: kept.column(c).combine_chunks() for c in kept.column_names}
+
+
+def _tile_links(batches):
+    """Links between classes in each tile, of equal ones the first: label_a, label_b."""
+    for tile in _tiles(batches):
+        label, partners = _possible(tile)
+        bags = [np.frombuffer(x, "<u4") for x in tile["bag"].to_pylist()]
+        names = tile["label"].to_pylist()
+        out = []
+        for x in range(len(bags) - 1):
+            at = partners(x)
+            ends = np.cumsum([len(bags[y]) for y in at.tolist()])
+            for part in np.split(at, np.flatnonzero(np.diff(ends // LOOKUP)) + 1) if len(at) else []:
+                lengths = np.array([len(bags[y]) for y in part.tolist()])
+                found = np.concatenate([bags[y] for y in part.tolist()])
+                place = np.minimum(np.searchsorted(bags[x], found), len(bags[x]) - 1)
+                hits = (bags[x][place] == found).astype(np.int64)
+                both = np.add.reduceat(hits, np.cumsum(lengths) - lengths)
+                alike = both >= SIMILARITY * (len(bags[x]) + lengths - both)
+                for y in part[alike].tolist():
+                    if label[x] != label[y]:
+                        out.append((names[x], names[y]))
+                        label[label == label[y]] = label[x]
+        yield {"node_a": [x for x, _ in out], "node_b": [y for _, y in out]}
+
+
+TILE_KEY = ["band", "h0", "i", "j"]
+TILED = (
+    "band int, h0 long, i int, j int, block int, doc long, node binary, label binary, size int, "
+    "bands array<long>, signature binary"
+)
+
+
+def other_links(
+    signs: DataFrame, nodes: DataFrame, rows: DataFrame, labels: DataFrame, staging: Staging
+) -> DataFrame:
+    """Links between classes of the first pass, by the labels of their classes.
+
+    Every pair of texts of two classes that share a bucket is tested, in whatever bucket: the
+    first pass has tested those of two texts. A bucket of n texts is dealt into blocks, and two
+    blocks meet in one task, so that a text travels n / TILE times. Signatures come first;
+    only texts with a possible partner send their bags. A task gives the links that connect
+    classes, fewer than it has texts, however many pairs are alike.
+    """
+    own = rows.where(F.col("n") > 2).select(
+        "band", "h0", "n", F.col("doc_b").alias("doc"), F.col("node_b").alias("node")
+    )
+    own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = staging.table(own, "labelled")
+    mixed = (
+        own.groupBy("band", "h0")
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        .where(F.col("least") != F.col("most"))
+        .select("band", "h0")
+    )
+    own = own.join(staging.table(mixed, "mixed"), ["band", "h0"])
+    blocks_of = F.ceil(F.col("n") / TILE).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks_of).cast("int")
+    # All texts of a bucket of one block meet in the tile (0, 0).
+    dealt = own.withColumn("block", block).select(
+        "*", F.explode(F.sequence(F.lit(0), blocks_of - 1)).alias("with")
+    )
+    tiled = (
+        dealt.withColumn("i", F.least("block", "with"))
+        .withColumn("j", F.greatest("block", "with"))
+        .join(nodes.select("doc", "node", "size", "bands", "signature"), ["doc", "node"])
+    )
+    names = [c.split()[0] for c in TILED.split(", ")]
+
+    def by_tile(df: DataFrame, *more: str) -> DataFrame:
+        ordered = df.select(*names, *more).repartition(*TILE_KEY)
+        return ordered.sortWithinPartitions(*TILE_KEY, "node")
+
+    some = staging.table(arrow_map(by_tile(tiled), TILED, _with_partners), "partners")
+    bags = some.join(signs.select("doc", "node", "bag"), ["doc", "node"])
+    return arrow_map(by_tile(bags, "bag"), "node_a binary, node_b binary", _tile_links)
+
+
 def components(edges: DataFrame, staging: Staging) -> DataFrame:
     """The smallest node that each linked node is connected to: node, label.
 
@@ -320,6 +452,17 @@ def components(edges: DataFrame, staging: Staging) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """Nodes with the label of their class after the classes that `joined` connects are one."""
+    old = joined.select(F.col("node").alias("of"), F.col("label").alias("to"))
+    moved = labels.join(old, F.col("label") == F.col("of"), "left").select(
+        "node", F.coalesce("to", "label").alias("label")
+    )
+    # Texts that the first pass linked to none are their own labels.
+    alone = joined.join(labels, "node", "left_anti").select("node", "label")
+    return moved.unionByName(alone)
+
+
 def classes(docs: DataFrame, staging: Staging) -> DataFrame:
     """The key of each document, its class and the class's first document.
 
@@ -330,7 +473,19 @@ def classes(docs: DataFrame, staging: Staging) -> DataFrame:
     )
     signs = staging.table(signed(keyed), "signed")
     signs = signs.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
-    linked = components(links(signs, staging), staging)
+    nodes = staging.table(
+        signs.groupBy("node").agg(
+            F.min("doc").alias("doc"),
+            F.first("bands").alias("bands"),
+            F.first("signature").alias("signature"),
+            F.first(F.length("bag") / 4).cast("int").alias("size"),
+        ),
+        "nodes",
+    )
+    rows = staging.table(bucket_rows(nodes, staging), "buckets")
+    labels = components(first_links(signs, nodes, rows, staging), staging)
+    others = staging.table(other_links(signs, nodes, rows, labels, staging), "others")
+    linked = staging.table(relabelled(labels, components(others, staging)), "linked")
     of = staging.table(
         signs.select(*KEY, "node")
         .join(linked, "node", "left")

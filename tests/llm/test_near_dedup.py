@@ -120,3 +120,40 @@ def test_odd_rows(spark, staging):
     none = documents(spark, [])
     assert near_dedup.near_classes(none, staging).count() == 0
     assert near_dedup.one_of_each(none, staging).count() == 0
+
+
+def linked_classes(bags):
+    """Connected classes of bags by all their pairs, counted as products of a matrix."""
+    up = list(range(len(bags)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    names = {g: k for k, g in enumerate(sorted({g for b in bags for g in b}))}
+    counts = np.zeros((len(bags), len(names)), np.float32)
+    for i, b in enumerate(bags):
+        assert set(b.values()) == {1}
+        counts[i, [names[g] for g in b]] = 1
+    size = counts.sum(axis=1)
+    shared = counts[:, counts.sum(axis=0) > 1]
+    both = shared @ shared.T
+    for x, y in np.argwhere(both >= 0.8 * (size[:, None] + size - both)).tolist():
+        up[max(top(x), top(y))] = min(top(x), top(y))
+    return {i: top(i) for i in range(len(bags))}
+
+
+def test_sparse_links_of_a_large_group_without_its_base(spark, staging, monkeypatch):
+    rng = random.Random(5)
+    base = [f"v{k}" for k in range(200)]
+    texts = []
+    for _ in range(900):
+        words = list(base)
+        for k in rng.sample(range(200), 4):
+            words[k] = f"w{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    monkeypatch.setattr(near_dedup, "TILE", 100, raising=False)  # several tiles in a bucket
+    want = linked_classes([bag(t) for t in texts])
+    assert 20 < sum(c != i for i, c in want.items()) < 400
+    assert classes(spark, staging, list(enumerate(texts))) == want
