@@ -3,7 +3,9 @@
 Numbers, units and names become placeholders, so that a question with other numbers or names
 has the windows of the original. Windows of five words are joined by hash. The values behind
 the placeholders must correspond: within one occurrence every value of the benchmark item
-stands for one value of the document, and the other way round.
+stands for one value of the document, and the other way round. Verbatim copies are found by
+literal windows too: five lower-cased words without placeholders, whatever they are, or all
+words of a text that has fewer.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from anchorline.llm.near_dedup import EDGES, mix
 from anchorline.sources.staging import Staging
 
 WORDS = 5
-#: Fewer words of a window than this in plain text say nothing.
+#: Fewer words of a template window than this in plain text say nothing.
 PLAIN = 3
 #: An item is found where this share of its windows matches, or so many in a row.
 COVERAGE = 0.5
@@ -48,7 +50,8 @@ _PLAIN, _NUM, _UNIT, _BOTH, _NAME = range(5)
 _TYPE, _CAPITAL, _ENDS = 3, 4, 8
 
 KEY = ["doc_id", "key_a", "key_b"]
-WINDOW = "place long, hash_a long, hash_b long, slots array<long>"
+COUNTS = "n_windows long, n_plain long"
+WINDOW = "place long, rank long, hash_a long, hash_b long, slots array<long>"
 
 
 def word_values(words: pa.Array) -> np.ndarray:
@@ -81,9 +84,11 @@ def word_values(words: pa.Array) -> np.ndarray:
 
 
 def template_windows(texts: pa.Array, known: Known, wanted: np.ndarray | None):
-    """Text, place, two hashes and slot values of each window whose slot in `wanted` is set.
+    """Text, place, rank, two hashes and slot values of each window whose slot in `wanted` is set.
 
-    Also the number of windows of each text. Windows of fewer than PLAIN plain words are none.
+    Also the numbers of literal and of template windows of each text. Windows of fewer than
+    PLAIN plain words are no template windows; the rank counts those that are, so that runs
+    pass over the others. Literal windows have no slots and the rank -1.
     """
     bounds, codes, words = split_words(texts)
     values = known(words).view(np.uint64)[codes] if len(codes) else np.array([], np.uint64)
@@ -110,19 +115,39 @@ def template_windows(texts: pa.Array, known: Known, wanted: np.ndarray | None):
         hash_b = mix(hash_b + signs[k : k + count])
         plain += ~slot[k : k + count]
     whole = (doc[:count] == doc[n - count :]) & (plain >= PLAIN)
-    n_windows = np.bincount(doc[:count][whole], minlength=len(texts))
-    if wanted is not None:
-        at = hash_a & np.uint64(FILTER - 1)
-        whole &= (wanted[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    at = np.flatnonzero(whole)
+    n_plain = np.bincount(doc[:count][whole], minlength=len(texts))
+    rank = np.cumsum(whole) - 1 - (np.cumsum(n_plain) - n_plain)[doc[:count]]
+    left = bounds[1:][doc] - np.arange(n)  # words from here to the text's end
+    size = np.diff(bounds)[doc]
+    exact = (left >= WORDS) | ((size < WORDS) & (left == size))
+    n_windows = np.bincount(doc[exact], minlength=len(texts))
+    padded = np.concatenate([literal, np.zeros(WORDS, np.uint64)])
+    exact_a, exact_b = np.full(n, 2, np.uint64), np.full(n, 3, np.uint64)
+    for k in range(WORDS):
+        word = np.where(left > k, padded[k : k + n], np.uint64(0))
+        exact_a = mix(exact_a ^ word)
+        exact_b = mix(exact_b + word)
+
+    def passing(here: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        if wanted is None:
+            return np.flatnonzero(here)
+        at = hashes & np.uint64(FILTER - 1)
+        bit = (wanted[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+        return np.flatnonzero(here & (bit == 1))
+
+    at, too = passing(whole, hash_a), passing(exact, exact_a)
     slots = [
         literal[i : i + WORDS][slot[i : i + WORDS]].view(np.int64).tolist() for i in at.tolist()
-    ]
-    return doc[at], at - bounds[doc[at]], hash_a[at], hash_b[at], slots, n_windows
+    ] + [[]] * len(too)
+    rank = np.concatenate([rank[at], np.full(len(too), -1)])
+    hash_a = np.concatenate([hash_a[at], exact_a[too]])
+    hash_b = np.concatenate([hash_b[at], exact_b[too]])
+    at = np.concatenate([at, too])
+    return doc[at], at - bounds[doc[at]], rank, hash_a, hash_b, slots, n_windows, n_plain
 
 
 def windows(df: DataFrame, columns: list[str], wanted: np.ndarray | None = None) -> DataFrame:
-    """`columns` of each row, the number of its windows, and one row per window."""
+    """`columns` of each row, the numbers of its windows, and one row per window."""
 
     def rows(batches):
         known = Known(word_values)
@@ -130,12 +155,14 @@ def windows(df: DataFrame, columns: list[str], wanted: np.ndarray | None = None)
             text = batch.column(len(columns))
             for a, b in blocks(text):
                 found = template_windows(text.slice(a, b - a), known, wanted)
-                row, place, hash_a, hash_b, slots, n_windows = found
+                row, place, rank, hash_a, hash_b, slots, n_windows, n_plain = found
                 take = pa.array(row + a)
                 yield {
                     **{c: batch.column(i).take(take) for i, c in enumerate(columns)},
                     "n_windows": n_windows[row],
+                    "n_plain": n_plain[row],
                     "place": place,
+                    "rank": rank,
                     "hash_a": hash_a.view(np.int64),
                     "hash_b": hash_b.view(np.int64),
                     "slots": slots,
@@ -143,7 +170,7 @@ def windows(df: DataFrame, columns: list[str], wanted: np.ndarray | None = None)
 
     kinds = dict(df.dtypes)
     head = ", ".join(f"{c} {kinds[c]}" for c in columns)
-    return arrow_map(df.select(*columns, "text"), f"{head}, n_windows long, {WINDOW}", rows)
+    return arrow_map(df.select(*columns, "text"), f"{head}, {COUNTS}, {WINDOW}", rows)
 
 
 def slot_filter(items: DataFrame) -> np.ndarray:
@@ -180,14 +207,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, staging: Staging) -> DataFram
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), *row_key(text_of()), text_of().alias("text")
     )
-    found = staging.table(windows(keyed, KEY, slot_filter(items)).drop("n_windows"), "found")
+    found = staging.table(windows(keyed, KEY, slot_filter(items)).drop("n_windows", "n_plain", "rank"), "found")
     met = found.join(items, ["hash_a", "hash_b"])
+    ranked = F.col("rank") >= 0
     # One occurrence lies at one distance from the item; it has no more windows than the item.
     occurrence = met.groupBy(
-        *KEY, "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("shift")
+        *KEY, "item_id", "n_windows", "n_plain", (F.col("place") - F.col("item_place")).alias("shift")
     ).agg(
         F.collect_set(F.when(F.size("slots") == 0, F.col("item_place"))).alias("plain"),
         F.collect_set("item_place").alias("places"),
+        F.collect_set(F.when((F.size("slots") == 0) & ranked, F.col("rank"))).alias("plain_ranks"),
+        F.collect_set(F.when(ranked, F.col("rank"))).alias("ranks"),
         F.array_distinct(
             F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))
         ).alias("values"),
@@ -196,15 +226,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, staging: Staging) -> DataFram
         F.size("values") == F.size(F.array_distinct("values.slots"))
     )
     places = F.array_sort(F.when(one_to_one, F.col("places")).otherwise(F.col("plain")))
+    ranks = F.array_sort(F.when(one_to_one, F.col("ranks")).otherwise(F.col("plain_ranks")))
+    item = ["item_id", "n_windows", "n_plain"]
+
+    def distinct(column: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(column)))).cast("long")
+
     return (
-        occurrence.select(*KEY, "item_id", "n_windows", places.alias("places"))
-        .groupBy(*KEY, "item_id", "n_windows")
+        occurrence.select(*KEY, *item, places.alias("places"), ranks.alias("ranks"))
+        .groupBy(*KEY, *item)
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
-            F.max(_longest(F.col("places"))).alias("longest_run"),
+            distinct("places").alias("n_matched"),
+            distinct("ranks").alias("n_ranked"),
+            F.max(F.greatest(_longest(F.col("places")), _longest(F.col("ranks")))).alias("longest_run"),
         )
         .where(
-            (F.col("n_matched") >= COVERAGE * F.col("n_windows")) | (F.col("longest_run") >= RUN)
+            (F.col("n_matched") >= COVERAGE * F.col("n_windows"))
+            | ((F.col("n_ranked") > 0) & (F.col("n_ranked") >= COVERAGE * F.col("n_plain")))
+            | (F.col("longest_run") >= RUN)
         )
     )
 
@@ -212,9 +251,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, staging: Staging) -> DataFram
 def contaminated(docs: DataFrame, benchmark: DataFrame, staging: Staging) -> DataFrame:
     """Documents that hold benchmark items: doc_id, item_id, n_windows, n_matched, longest_run.
 
-    Null texts are empty. Texts and items of fewer than five words, or with fewer than three
-    plain words in every five, have no window and match nothing. Items of the same words are
-    all found. Rows equal in id and text count as one document; null ids stay null. An empty
+    Null texts are empty and match nothing. An item of fewer than five words is found in texts
+    of the same words alone, one with fewer than three plain words in every five only where
+    its words are literally the same. n_windows counts all windows of an item, n_matched those
+    that a template or a literal window matches. Items of the same words are all found. Rows equal in id and text count as one document; null ids stay null. An empty
     table on either side gives no row. Columns other than the ids and texts are not read.
     """
     return matches(docs, benchmark, staging).select(

@@ -83,3 +83,25 @@ def test_odd_rows_and_empty_tables(spark, staging):
     assert stage.count() == len(ODD) - 2
     assert stage.where("doc_id = 6").count() == 0
     assert LONG
+
+
+def test_literal_copies_of_numeric_short_and_capital_items(spark, staging):
+    numeric, short = "What is 17 * 23 + 45?", "Who wrote Hamlet?"
+    docs = [
+        (1, f"A question comes here. {numeric} It is followed by more text of another kind."),
+        (2, "who wrote hamlet"),
+        (3, f"Before it some words. {ITEM.title()} After it some words."),
+        (4, "What is 18 * 29 + 46? Nobody who wrote of Hamlet knows."),
+    ]
+    got = found(spark, staging, docs, [(1, numeric), (2, short), (3, ITEM)])
+    assert set(got) == {(1, 1), (2, 2), (3, 3)}
+
+
+def test_runs_pass_over_places_without_a_template_window(spark, staging):
+    item = (
+        "the small boat sails past every green island 3 4 5 6 until a quiet harbour opens wide before it "
+        + " ".join(f"tail{k}" for k in range(60))
+    )
+    start = " ".join(item.split()[:20]).replace("3 4 5 6", "7 8 9 11")
+    got = found(spark, staging, [(1, f"{start} and then another story begins")], [(1, item)])
+    assert set(got) == {(1, 1)}
