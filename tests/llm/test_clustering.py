@@ -1,0 +1,102 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from anchorline.llm import clustering
+
+
+def vectors(spark, rows, kind="double", extra=False):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    return df.selectExpr("*", "'x' AS cluster", "1 AS comps", "2 AS near", "'y' AS label") if extra else df
+
+
+def by_hand(rows, k, rounds, dim):
+    """Every distance of every round, in integers of any size."""
+    kept = [
+        (i, [math.floor(256 * x) for x in v]) for i, v in rows
+        if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)
+    ]
+
+    def order(row):
+        digest = "~" if row[0] is None else hashlib.sha256(f"2:{row[0]}".encode()).hexdigest()
+        return digest, row[1]
+
+    centroids = [v for _, v in sorted(kept, key=order)[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), i) for i, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(nearest(v)[1], []).append(v)
+        for i, vs in members.items():
+            centroids[i] = [sum(x) // len(vs) for x in zip(*vs, strict=True)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    total = sum(d for *_, d in found)
+    inner = {c: sum(d for _, x, d in found if x == c) for _, c, _ in found}
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, c, d, inner[c], total, digests[c]) for i, c, d in found), key=repr)
+
+
+def table(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_rows_are_those_of_all_distances(spark, staging):
+    random = np.random.default_rng(3)
+    rows = [(i, (random.normal(size=6) + 3 * (i % 4)).tolist()) for i in range(120)]
+    rows += [(1000 + i, [0.5, 0.25, 0.0, -0.5, 1.0, 2.0]) for i in range(30)]  # one very common vector
+    rows += [(7, rows[7][1]), (7, rows[8][1]), (None, rows[9][1])]
+    rows += [
+        (2000, None), (2001, []), (2002, [1.0] * 5), (2003, [1.0] * 7), (2004, [1.0] * 5 + [None]),
+        (2005, [1.0] * 5 + [math.nan]), (2006, [1.0] * 5 + [math.inf]), (2007, [-math.inf] * 6),
+    ]
+    for extra in (False, True):
+        got = clustering.cluster_vectors(vectors(spark, rows, extra=extra).repartition(5), staging, 9, 3, 6, 4)
+        assert table(got) == by_hand(rows, 9, 3, 6)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_fewer_vectors_than_clusters(spark, staging, n):
+    rows = [(i, [float(i)] * 4) for i in range(n)]
+    got = clustering.cluster_vectors(vectors(spark, rows, "float"), staging, 5, 2, 4)
+    assert table(got) == by_hand(rows, 5, 2, 4)
+
+
+def test_copies_alone_make_one_cluster(spark, staging):
+    rows = [(i, [1.5, -2.5]) for i in range(50)]
+    got = clustering.cluster_vectors(vectors(spark, rows), staging, 5, 2, 2)
+    assert table(got) == by_hand(rows, 5, 2, 2)
+
+
+def test_huge_components_count_as_the_largest(spark, staging):
+    rows = [(1, [1e30, 0.0]), (2, [-1e30, 0.0]), (3, [1e300, 1.0])]
+    got = table(clustering.cluster_vectors(vectors(spark, rows), staging, 2, 1, 2))
+    assert [r[0] for r in got] == [1, 2, 3]
+    assert all(0 <= r[2] < 1 << 63 for r in got)
+
+
+def test_bounds_are_below_and_prune():
+    random = np.random.default_rng(4)
+    centres = random.integers(-4000, 4000, (40, 64))
+    points = centres[random.integers(0, 40, 3000)] + random.integers(-60, 60, (3000, 64))
+    pivots = clustering.Pivots.spread(centres, 6)
+    near = pivots.distances(points)
+    bounds = pivots.bounds(near, pivots.distances(centres))
+    exact = ((points[:, None] - centres[None]) ** 2).sum(axis=2)
+    assert (bounds <= exact).all()
+    cluster, distance, computed = clustering.nearest(points, near, pivots, centres)
+    assert (distance == exact.min(axis=1)).all()
+    assert (cluster == exact.argmin(axis=1)).all()
+    assert computed < 6 * len(points)  # of 40
+
+
+def test_ties_go_to_the_smaller_number():
+    centroids = np.array([[2, 0], [0, 0], [2, 0]])
+    points = np.array([[1, 0], [2, 0], [0, 0]])
+    pivots = clustering.Pivots.spread(centroids)
+    cluster, distance, _ = clustering.nearest(points, pivots.distances(points), pivots, centroids)
+    assert (cluster.tolist(), distance.tolist()) == ([0, 0, 1], [1, 0, 0])
