@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.llm import (
+    alignment,
     chat,
+    clustering,
     decontamination,
     html_extraction,
     licenses,
     line_dedup,
+    line_quality,
     near_dedup,
     packing,
     quality,
@@ -107,3 +110,25 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_chat"] = chat.SQL
+
+
+@query
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return line_quality.line_quality(docs, labels, Staging(spark))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bytes_path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces_path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, bytes_path, pieces_path, Staging(spark))
+
+
+@query
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings"), Staging(spark))
+
+
+ORACLES["op13_clustering"] = clustering.SQL
