@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
+from anchorline.operators.filters import among
 from anchorline.operators.overrides import apply_overrides
 from anchorline.schemas import FISCAL_YEAR, PULLBACK, conform
 from anchorline.sources.ledger import award_rollup
@@ -36,19 +37,36 @@ def end_date_history(
     )
 
 
-def pullbacks(
-    history: DataFrame,
-    rollup: DataFrame,
-    *,
-    start: date,
-    min_days: int = V.MIN_PULLBACK_DAYS,
+def may_be_pulled_back(
+    history: DataFrame, *, start: date, min_days: int = V.MIN_PULLBACK_DAYS
 ) -> DataFrame:
-    """Awards active since `start` whose end date was pulled back by more than `min_days`.
+    """The awards that dates alone do not rule out: all that are pulled back, and those whose
+    last day has several end dates.
 
-    Undated rows are ignored when picking the first and current end dates, but count
-    as transactions. One aggregation that combines before it shuffles; the rollup
-    joins only the awards that remain.
+    Of an award's last dated day the least and the greatest end date are kept, each packed
+    behind the day into one number, so the aggregation is by hash over numbers and dates.
     """
+    day, end = F.unix_date("action_date").cast("long"), F.unix_date("end_date").cast("long")
+    wide, half = 1 << 32, (1 << 31) - 1
+    dated = history.groupBy("award_id").agg(
+        F.max("end_date").alias("latest_end"),
+        F.max("action_date").alias("last_action"),
+        F.max(day * wide + (half - end)).alias("least"),
+        F.max(day * wide + (half + end)).alias("most"),
+    )
+    least = F.date_from_unix_date((half - F.pmod("least", F.lit(wide))).cast("int"))
+    most = F.date_from_unix_date((F.pmod("most", F.lit(wide)) - half).cast("int"))
+    return dated.where(
+        (F.col("last_action") >= F.lit(start))
+        & (F.datediff("latest_end", least) > min_days)
+        & (most >= F.lit(start))
+    ).select("award_id")
+
+
+def pullback_leads(
+    history: DataFrame, *, start: date, min_days: int = V.MIN_PULLBACK_DAYS
+) -> DataFrame:
+    """One row per award pulled back, with its first texts and dates, by one aggregation."""
     # A null order key sorts last, and is told apart from a blank one.
     order = F.struct(
         "action_date", F.col("sort_key").isNull().alias("keyless"), "sort_key", "ingest_seq"
@@ -66,13 +84,33 @@ def pullbacks(
         F.max("action_date").alias("last_action_date"),
         F.count("*").alias("transaction_count"),
     )
-    leads = per_award.withColumn(
+    return per_award.withColumn(
         "days_shortened", F.datediff("max_end_date", "current_end_date")
     ).where(
         (F.col("last_action_date") >= F.lit(start))
         & (F.col("days_shortened") > min_days)
         & (F.col("current_end_date") >= F.lit(start))
     )
+
+
+def pullbacks(
+    history: DataFrame,
+    rollup: DataFrame,
+    *,
+    start: date,
+    min_days: int = V.MIN_PULLBACK_DAYS,
+) -> DataFrame:
+    """Awards active since `start` whose end date was pulled back by more than `min_days`.
+
+    Undated rows are ignored when picking the first and current end dates, but count
+    as transactions. Two phases: dates and numbers of all awards, by hash; then texts and the
+    exact order of rows for the few awards that remain, whose slots limit the second read.
+    Both combine before they shuffle; the rollup joins only the awards that are published.
+    """
+    possible = may_be_pulled_back(history, start=start, min_days=min_days)
+    leads = pullback_leads(
+        among(history, possible, ["award_id"]), start=start, min_days=min_days
+    )
     facts = award_rollup(rollup).withColumnRenamed("award_id", "internal_award_id")
     named = leads.withColumnRenamed("award_id", "internal_award_id").join(
         facts, "internal_award_id", "left"

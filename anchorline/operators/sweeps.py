@@ -11,18 +11,32 @@ from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
 from anchorline.operators.adjudicate import accept_awards, history_order
+from anchorline.operators.filters import among
 from anchorline.operators.skew import salted_join
 from anchorline.schemas import MONEY
 from anchorline.sources.ledger import pop_location, recipient_location, rollup_facts
+from anchorline.sources.ledger import since as ledger_since
 from anchorline.sources.staging import Staging
 
 # Arrival passes, in the order the rows reach the judge.
 KEYWORD_PASS, CODE_PASS, FOLLOW_UP_PASS = 0, 1, 2
 
 
-def sweep_rows(ledger: DataFrame, *, agency_id: int = V.AGENCY_ID) -> DataFrame:
-    """One agency's actions in the sweep's shape: identity, action, and the sweep they belong to."""
-    return ledger.where(F.col("awarding_agency_id") == agency_id).select(
+def sweep_rows(
+    ledger: DataFrame,
+    *,
+    window: tuple[date, date] | None = None,
+    agency_id: int = V.AGENCY_ID,
+) -> DataFrame:
+    """One agency's actions in the sweep's shape: identity, action, and the sweep they belong to.
+
+    `window` limits them to its days, and the scan to the folders of its years.
+    """
+    if window is None:
+        rows = ledger.where(F.col("awarding_agency_id") == agency_id)
+    else:
+        rows = ledger_since(ledger, window[0], agency_id, until=window[1])
+    return rows.select(
         S.native_id("piid", "fain", "uri").alias("award_identifier"),
         "generated_unique_award_id",
         F.coalesce("is_fpds", F.lit(False)).alias("is_procurement"),
@@ -93,6 +107,13 @@ def code_sweep(
     return txn.where(_in_code_sweep(start, today, lookback_days))
 
 
+def _passes(start: date, today: date, lookback_days: int) -> Column:
+    """The sweeps a row belongs to, none or both among them."""
+    by_keyword = F.when(_in_keyword_sweep(start, today), KEYWORD_PASS)
+    by_code = F.when(_in_code_sweep(start, today, lookback_days), CODE_PASS)
+    return F.array_compact(F.array(by_keyword, by_code))
+
+
 def sweep_union(
     txn: DataFrame, *, start: date, today: date, lookback_days: int = V.LOOKBACK_DAYS
 ) -> DataFrame:
@@ -100,12 +121,24 @@ def sweep_union(
 
     One read of the ledger serves both sweeps.
     """
-    by_keyword = _in_keyword_sweep(start, today)
-    by_code = _in_code_sweep(start, today, lookback_days)
-    passes = F.array_compact(
-        F.array(F.when(by_keyword, KEYWORD_PASS), F.when(by_code, CODE_PASS))
+    swept = _in_keyword_sweep(start, today) | _in_code_sweep(start, today, lookback_days)
+    arrivals = F.explode(_passes(start, today, lookback_days))
+    return txn.where(swept).withColumn("arrival", arrivals)
+
+
+def events_in_window(
+    txn: DataFrame, *, start: date, today: date, lookback_days: int = V.LOOKBACK_DAYS
+) -> DataFrame:
+    """Every reset and signal of the window, with the sweeps that deliver it.
+
+    Neither judgement looks at other rows, swept or followed up, so this is all of the ledger
+    that the recency door needs.
+    """
+    window = F.col("action_date").between(F.lit(start), F.lit(today))
+    event = P.is_reset("description") | P.is_explicit_termination(start)
+    return txn.where(window & P.may_matter() & event).withColumn(
+        "passes", _passes(start, today, lookback_days)
     )
-    return txn.where(by_keyword | by_code).withColumn("arrival", F.explode(passes))
 
 
 def arrival_order() -> Column:
@@ -118,12 +151,16 @@ def follow_up(txn: DataFrame, anchors: DataFrame, *, start: date, today: date) -
 
     The join is on the native id alone, and a row keeps its own award type. Where
     anchors share a native id the one that anchors last by award key takes the rows.
+
+    The earliest day is read as a value, so that it reaches the scan's filters, and rows of
+    ids without an anchor are mostly dropped there, before the join.
     """
     named = anchors.where(F.col("award_id") != "")
     filed = named.groupBy("award_id").agg(F.max("award_key").alias("anchor_key"))
-    earliest = anchors.agg(F.min("action_date").alias("day")).scalar()
-    window = F.col("action_date").between(F.lit(start), F.lit(today))
-    since = txn.where(window & (F.col("action_date") >= earliest))
+    earliest = anchors.agg(F.min("action_date").alias("day")).first()["day"]
+    first = max(start, earliest) if earliest else start
+    window = F.col("action_date").between(F.lit(first), F.lit(today))
+    since = among(txn.where(window & (F.col("award_id") != "")), filed, ["award_id"])
     return (
         salted_join(since, filed, ["award_id"], "inner", spread=F.col("ingest_seq"))
         .withColumn("award_key", F.col("anchor_key"))
@@ -153,15 +190,17 @@ def followup_rejudge(
 ) -> DataFrame:
     """Anchors from the sweeps, judged again with their awards' own later history in hand.
 
-    Anchors are staged: the follow-up filter, the follow-up join and the second
-    judgement all read them, and there is at most one per award.
+    The ledger is read once: its resets and signals are staged with their sweeps, and both
+    judgements and the follow-up read those. Anchors are staged too: the follow-up filter,
+    the follow-up join and the second judgement read them, and there is at most one per award.
     """
-    swept = staging.table(
-        sweep_union(txn, start=start, today=today, lookback_days=lookback_days), "swept"
+    events = staging.table(
+        events_in_window(txn, start=start, today=today, lookback_days=lookback_days), "events"
     )
+    swept = events.withColumn("arrival", F.explode("passes")).drop("passes")
     anchors = staging.table(accept_awards(swept, start=start, order=arrival_order()), "anchors")
     seen_again = swept.join(anchors.select("award_key"), "award_key", "left_semi")
-    later = follow_up(txn, anchors, start=start, today=today)
+    later = follow_up(events.drop("passes"), anchors, start=start, today=today)
     return accept_awards(
         seen_again.unionByName(later), start=start, order=arrival_order(), staging=staging
     )

@@ -47,8 +47,13 @@ def recency_part(
     agency_id: int = V.AGENCY_ID,
     staging: Staging,
 ) -> DataFrame:
-    """The recency door's published rows: sweeps, follow-up, second judgement, award facts."""
-    txn = sweeps.normalise_sweep(sweeps.sweep_rows(ledger, agency_id=agency_id))
+    """The recency door's published rows: sweeps, follow-up, second judgement, award facts.
+
+    The ledger is read once, and of a ledger laid out by year the window's years alone.
+    """
+    txn = sweeps.normalise_sweep(
+        sweeps.sweep_rows(ledger, window=(start, today), agency_id=agency_id)
+    )
     accepted = staging.table(
         sweeps.followup_rejudge(
             txn, start=start, today=today, lookback_days=lookback_days, staging=staging

@@ -53,13 +53,20 @@ def write_ledger(df: DataFrame, path: str) -> None:
     )
 
 
-def since(ledger: DataFrame, start: date, agency_id: int) -> DataFrame:
-    """One agency's actions since `start`; of a ledger laid out by year, only those folders."""
+def since(
+    ledger: DataFrame, start: date, agency_id: int, until: date | None = None
+) -> DataFrame:
+    """One agency's actions from `start` to `until`; of a ledger laid out by year, only those
+    folders."""
     rows = ledger.where(
         (F.col("awarding_agency_id") == agency_id) & (F.col("action_date") >= F.lit(start))
     )
+    if until is not None:
+        rows = rows.where(F.col("action_date") <= F.lit(until))
     if "action_year" in ledger.columns:
         rows = rows.where(F.col("action_year") >= start.year)
+        if until is not None:
+            rows = rows.where(F.col("action_year") <= until.year)
     return rows
 
 

@@ -22,6 +22,8 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans name their inputs in full, however long the folder's name is.
+        .config("spark.sql.maxMetadataStringLength", "4000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="anchorline-tests-"))
         .getOrCreate()
     )

@@ -1,6 +1,7 @@
 """Pull-backs and fiscal-year counts."""
 
 from datetime import date
+from random import Random
 
 from anchorline.operators import adjudicate as A
 from anchorline.operators import reports
@@ -112,3 +113,39 @@ def test_pullback_order_with_ties(spark):
     assert [(r.award_id, r.generated_award_id) for r in ordered] == [
         ("P1", "CONT_AWD_A"), ("P1", "CONT_AWD_P1"), ("P3", "CONT_AWD_P3"), ("P4", "CONT_AWD_P4"), ("P2", "CONT_AWD_P2"),
     ]
+
+
+def shortened(spark, actions, **more):
+    history = reports.end_date_history(ledger(spark, actions))
+    one = reports.pullback_leads(history, start=START, **more)
+    two = reports.pullbacks(history, rollup(spark, []), start=START, **more)
+    short = {r.award_id for r in reports.may_be_pulled_back(history, start=START, **more).collect()}
+    return values(one, "native_award_id"), values(two, "award_id"), short
+
+
+def test_dates_alone_rule_out_no_pullback(spark):
+    """Both forms agree on random histories with many ties of day and end date."""
+    random = Random(7)
+    days = ["2024-05-01", "2025-03-01", "2025-03-02", "2025-09-09"]
+    ends = [None, "1900-01-01", "2025-01-19", "2025-06-01", "2025-12-31", "2026-06-01", "9999-12-31"]
+    actions = [
+        dated(
+            n, random.choice(days), random.choice(ends), award=random.randrange(60),
+            transaction_unique_id=random.choice([None, "", "a", "b"]),
+        )
+        for n in range(300)
+    ]
+    one, two, short = shortened(spark, actions, min_days=30)
+    assert one == two and len(one) > 5
+    assert {int(x[0][1:]) for x in one} <= short
+    assert len(short) < 60
+
+
+def test_texts_are_aggregated_for_few_awards_alone(spark):
+    history = reports.end_date_history(ledger(spark, [action(1, "2025-04-01")]))
+    plan = reports.may_be_pulled_back(history, start=START)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    full = reports.pullbacks(history, rollup(spark, []), start=START)
+    plan = full._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("SortAggregate")[-1]
+    assert "LeftSemi" in below  # the sorted aggregation reads what the slots leave

@@ -111,3 +111,56 @@ def test_facts_by_generated_then_native_id(spark, staging):
 def test_duplicate_anchor_ids_are_counted(spark):
     anchors = spark.createDataFrame([("X",), ("X",), ("Y",), ("",), ("",)], "award_id string")
     assert values(sweeps.duplicate_anchor_ids(anchors)) == [("X", 2)]
+
+
+def test_the_recency_door_reads_the_window_of_the_ledger_once(spark, tmp_path):
+    """One scan of the ledger, of the window's years; the follow-up reads staged events."""
+    from anchorline.sources import ledger as L
+    from anchorline.sources.staging import Staging
+
+    rows = [
+        action(1, "2026-06-01", code="F", **own("A")),
+        action(2, "2026-06-20", text="more of the same", **own("A")),
+        action(3, "2019-06-01", code="F", **own("B")),
+        action(4, "2026-12-01", code="F", **own("C")),
+    ]
+    L.write_ledger(ledger(spark, rows), str(tmp_path / "book"))
+    plans = []
+
+    class Recording(Staging):
+        def table(self, df, name):
+            plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+            return super().table(df, name)
+
+    part = doors.recency_part(
+        L.read_ledger(spark, str(tmp_path / "book")), rollup(spark, []),
+        start=START, today=TODAY, staging=Recording(spark),
+    )
+    plans.append(("part", part._jdf.queryExecution().executedPlan().toString()))
+    assert values(part, "award_id") == [("A",)]
+    reading = [(name, plan) for name, plan in plans if "/book" in plan]
+    assert [name for name, _ in reading] == ["events"]
+    (scan,) = reading[0][1].split("FileScan")[1:]
+    years = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "(action_year#" in years and ">= 2025)" in years and "<= 2026)" in years
+    assert "GreaterThanOrEqual(action_date,2025-01-20)" in scan
+    later = [plan for name, plan in plans if name == "relevant"][0]
+    follow_up = [x for x in later.split("FileScan")[1:] if "GreaterThanOrEqual(action_date,2026-06-01)" in x]
+    assert len(follow_up) == 1  # since the earliest anchor
+    assert "_slot" in later
+
+
+def test_rows_among_wanted_keys(spark):
+    from anchorline.operators.filters import among
+
+    rows = spark.range(1000).selectExpr("id", "CAST(id % 100 AS STRING) AS name").unionByName(
+        spark.createDataFrame([(5000, None)], "id long, name string")
+    )
+    wanted = spark.createDataFrame([("7",), ("8",), ("7",), (None,), ("absent",)], "name string")
+    kept = among(rows, wanted, ["name"])
+    assert kept.columns == ["id", "name"]
+    assert {r.name for r in kept.collect()} == {"7", "8", None}
+    assert kept.count() == 21
+    crowded = among(rows, wanted, ["name"], slots=1)  # nothing can be dropped
+    assert crowded.count() == 1001
+    assert among(rows, wanted.limit(0), ["name"]).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +52,8 @@ def depth_txn(t: Tables) -> DataFrame:
     return L.normalise_ledger(L.ledger_scan(t.ledger(), start=START))
 
 
-def sweep_txn(t: Tables) -> DataFrame:
-    return sweeps.normalise_sweep(sweeps.sweep_rows(t.ledger()))
+def sweep_txn(t: Tables, window: tuple[date, date] | None = (START, TODAY)) -> DataFrame:
+    return sweeps.normalise_sweep(sweeps.sweep_rows(t.ledger(), window=window))
 
 
 def recency(t: Tables, staging: Staging) -> DataFrame:
@@ -308,7 +309,7 @@ _NORMAL = """internal_award_id award_key award_id generated_award_id award_type
     ),
 )
 def _(t: Tables) -> DataFrame:
-    swept = sweep_txn(t)
+    swept = sweep_txn(t, window=None)
     return (
         depth_txn(t)
         .select(_NORMAL)
