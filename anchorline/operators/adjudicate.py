@@ -144,44 +144,6 @@ def candidate_history(txn: DataFrame, award: str = "internal_award_id") -> DataF
     )
 
 
-def accept_candidates(
-    txn: DataFrame, *, start: date, salts: int = SALTS, staging: Staging
-) -> DataFrame:
-    """`accept_awards` over `candidate_history`, reading the ledger once.
-
-    A candidate row brings back its internal award's signals and resets, which need not
-    be candidates themselves: a coded row of an award that only its id shows to be a
-    vehicle is a signal without one. The few rows that matter are staged, and every
-    branch reads those.
-    """
-    candidate, reset = P.is_candidate(), P.is_reset("description")
-    signal = P.is_explicit_termination(start)
-    rows = staging.table(
-        history_rows(
-            txn,
-            ["award_key"],
-            order=history_order(),
-            is_reset=reset,
-            is_signal=signal,
-            rank=P.anchor_rank(),
-            keep=P.may_matter() & (candidate | reset | signal),
-            _candidate=candidate,
-            _award=F.col("internal_award_id"),
-        ),
-        "relevant",
-    )
-    candidates = staging.table(rows.where("_candidate").select("_award").distinct(), "candidates")
-
-    def rejoined(part: str) -> DataFrame:
-        return salted_join(
-            rows.where(part), candidates, ["_award"], "left_semi", spread=F.col("_order"), salts=salts
-        )
-
-    return standing_signal(
-        rejoined("_signal AND NOT _reset"), rejoined("_reset"), ["award_key"], salts=salts
-    )
-
-
 def publish_rows(accepted: DataFrame) -> DataFrame:
     """Accepted actions on the published termination columns."""
     flat = accepted.select(

@@ -106,31 +106,18 @@ def usable_feed(advertised: DataFrame) -> Column:
     return advertised.select(F.col("pages") >= 1).scalar()
 
 
-def unidentified_rows(txn: DataFrame) -> DataFrame:
-    """Rows with neither a generated nor a native id. They all share one key; worth a warning."""
-    return txn.where(F.col("award_key") == V.FALLBACK_KEY_PREFIX)
+def standing_checks(start: date) -> dict[str, Column]:
+    """What every run counts among the actions since `start`, by name.
 
-
-def breach_counts(txn: DataFrame, *, start: date) -> DataFrame:
-    """How many rows each standing check finds, for a run's report: check, found."""
-    checks = {
+    Rows the verdict would accept and the prefilter alone would miss, which count when another
+    row makes their award a candidate; sweep phrases that are no termination text, of which
+    there must be none; and rows without any id, which all share one key.
+    """
+    recent = P.in_window("action_date", start)
+    return {
         "accepted, not candidates": P.is_explicit_termination(start) & ~P.is_candidate(),
-        "phrase without termination": P.matches_sweep_phrase() & ~P.is_termination("description"),
-        "without any id": F.col("award_key") == V.FALLBACK_KEY_PREFIX,
+        "phrase without termination": recent
+        & P.matches_sweep_phrase()
+        & ~P.is_termination("description"),
+        "without any id": recent & (F.col("award_key") == V.FALLBACK_KEY_PREFIX),
     }
-    counted = txn.agg(*[F.count_if(check).alias(f"n{i}") for i, check in enumerate(checks.values())])
-    pairs = ", ".join(f"'{name}', n{i}" for i, name in enumerate(checks))
-    return counted.select(F.expr(f"stack({len(checks)}, {pairs})").alias("check", "found"))
-
-
-def containment_breaches(txn: DataFrame, *, start: date) -> DataFrame:
-    """Rows the verdict would accept and the prefilter alone would miss.
-
-    They count when another row makes their award a candidate.
-    """
-    return txn.where(P.is_explicit_termination(start) & ~P.is_candidate())
-
-
-def phrase_breaches(txn: DataFrame) -> DataFrame:
-    """Rows with a sweep phrase that are no termination text. There must be none."""
-    return txn.where(P.matches_sweep_phrase() & ~P.is_termination("description"))

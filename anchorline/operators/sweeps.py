@@ -170,16 +170,6 @@ def follow_up(txn: DataFrame, anchors: DataFrame, *, start: date, today: date) -
     )
 
 
-def duplicate_anchor_ids(anchors: DataFrame) -> DataFrame:
-    """Native ids that more than one anchor carries, with how many do."""
-    return (
-        anchors.where(F.col("award_id") != "")
-        .groupBy("award_id")
-        .agg(F.count("*").alias("anchors"))
-        .where("anchors > 1")
-    )
-
-
 def followup_rejudge(
     txn: DataFrame,
     *,

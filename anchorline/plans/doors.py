@@ -7,21 +7,35 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from anchorline import vocabulary as V
-from anchorline.operators import adjudicate, sweeps
+from anchorline.operators import adjudicate, signals, sweeps
 from anchorline.sources import ledger as L
 from anchorline.sources.staging import Staging
 
 
-def depth_verdicts(
+def depth_index(
     ledger: DataFrame,
     *,
     start: date,
+    checked_from: date | None = None,
     agency_id: int = V.AGENCY_ID,
     staging: Staging,
-) -> DataFrame:
-    """Accepted actions of the whole ledger since `start`, without award facts."""
+) -> tuple[DataFrame, dict[str, int]]:
+    """The signal index of the ledger since `start`, and the standing checks' counts.
+
+    This is all that the depth door, the checks and the fiscal years read of the ledger's texts.
+    """
     scan = L.ledger_scan(ledger, start=start, agency_id=agency_id)
-    return adjudicate.accept_candidates(L.normalise_ledger(scan), start=start, staging=staging)
+    return signals.index_table(
+        L.normalise_ledger(scan), start=start, checked_from=checked_from, staging=staging
+    )
+
+
+def depth_rows(
+    index: DataFrame, rollup: DataFrame, *, start: date, staging: Staging
+) -> DataFrame:
+    """The depth door's published rows. Award facts join after the verdict, one row per award."""
+    accepted = signals.verdicts(index, start=start, staging=staging)
+    return adjudicate.publish_rows(L.as_txn(L.with_rollup(accepted, rollup)))
 
 
 def depth_part(
@@ -32,9 +46,9 @@ def depth_part(
     agency_id: int = V.AGENCY_ID,
     staging: Staging,
 ) -> DataFrame:
-    """The depth door's published rows. Award facts join after the verdict, one row per award."""
-    accepted = depth_verdicts(ledger, start=start, agency_id=agency_id, staging=staging)
-    return adjudicate.publish_rows(L.as_txn(L.with_rollup(accepted, rollup)))
+    """`depth_rows` of an index of its own."""
+    index, _ = depth_index(ledger, start=start, agency_id=agency_id, staging=staging)
+    return depth_rows(index, rollup, start=start, staging=staging)
 
 
 def recency_part(
@@ -64,13 +78,7 @@ def recency_part(
     return adjudicate.publish_rows(L.as_txn(enriched))
 
 
-def fiscal_year_rows(
-    ledger: DataFrame,
-    *,
-    first_day: date,
-    agency_id: int = V.AGENCY_ID,
-    staging: Staging,
-) -> DataFrame:
+def fiscal_year_rows(index: DataFrame, *, first_day: date, staging: Staging) -> DataFrame:
     """The depth door's rows judged from an earlier bound; award facts are not read here."""
-    accepted = depth_verdicts(ledger, start=first_day, agency_id=agency_id, staging=staging)
+    accepted = signals.verdicts(index, start=first_day, staging=staging)
     return adjudicate.publish_rows(L.as_txn(accepted))

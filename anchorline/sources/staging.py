@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -45,6 +47,20 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def observed(
+        self, df: DataFrame, **metrics: Column
+    ) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+        """`df` with metrics that the next job over it takes on the way, and how to read them
+        once that job is done."""
+        seen = Observation(uuid.uuid4().hex)
+        marked = df.observe(seen, *[column.alias(name) for name, column in metrics.items()])
+        return marked, lambda: dict(seen.get)
+
+    def counted(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+        """`table`, with the number of rows written as `rows`, and other metrics beside it."""
+        marked, found = self.observed(df, rows=F.count(F.lit(1)), **metrics)
+        return self.table(marked, name), found()
+
     def remove(self) -> None:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.folder)

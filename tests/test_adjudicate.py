@@ -1,12 +1,17 @@
 """The verdict: scenario histories, random histories against a fold, and a hot key."""
 
 import random
+from datetime import date
+from random import Random
 
 from pyspark.sql import functions as F
 
 from anchorline.operators import adjudicate as A
 from anchorline.operators import guards as G
+from anchorline.operators import signals
+from anchorline.plans import doors
 from anchorline.sources import ledger as L
+from anchorline.sources.staging import Staging
 from builders import START, action, award, ledger, rollup, txn, txns, values
 
 STOP = "stop work order"
@@ -110,6 +115,14 @@ def test_a_key_with_a_third_of_all_rows_is_spread(spark):
     assert "_salt" in plan and "Window" not in plan
 
 
+def judged(txn, staging):
+    return signals.verdicts(signals.signal_index(txn, start=START), staging=staging)
+
+
+def checks(txn, staging):
+    return signals.index_table(txn, start=START, checked_from=START, staging=staging)[1]
+
+
 def test_resets_count_only_for_awards_with_a_candidate(spark, staging):
     # Two internal awards share a fallback key; the second one has a reset and no candidate.
     shared = dict(piid="S1", generated=None)
@@ -120,7 +133,7 @@ def test_resets_count_only_for_awards_with_a_candidate(spark, staging):
         action(4, "2025-07-01", award=3, piid="S2", generated=None, text="resumption of work after suspension"),
     ]
     txn_rows = L.normalise_ledger(L.ledger_scan(ledger(spark, rows), start=START))
-    accepted = A.accept_candidates(txn_rows, start=START, staging=staging)
+    accepted = judged(txn_rows, staging)
     assert values(accepted, "award_key", "ingest_seq") == [("PIID:S1", 1)]
     # The same answer by the plain route: history of candidates, then the verdict.
     plain = A.accept_awards(A.candidate_history(txn_rows), start=START)
@@ -138,7 +151,7 @@ def test_ledger_rows_are_published_with_their_award_facts(spark, staging):
                                  recipient_location_congressional_code="04",
                                  pop_congressional_code_current="07", pop_congressional_code="01")])
     scan = L.ledger_scan(ledger(spark, rows), start=START)
-    accepted = A.accept_candidates(L.normalise_ledger(scan), start=START, staging=staging)
+    accepted = judged(L.normalise_ledger(scan), staging)
     published = A.publish_rows(L.as_txn(L.with_rollup(accepted, facts)))
     assert values(
         published, "award_key", "award_type", "award_type_code", "action_type", "detected_by",
@@ -149,10 +162,10 @@ def test_ledger_rows_are_published_with_their_award_facts(spark, staging):
     ]
 
 
-def test_rows_without_any_id_share_a_key_and_are_reported(spark):
+def test_rows_without_any_id_share_a_key_and_are_reported(spark, staging):
     rows = [action(1, "2025-06-01", piid=None, generated=""), action(2, "2025-06-01", generated=None)]
-    found = G.unidentified_rows(L.normalise_ledger(L.ledger_scan(ledger(spark, rows), start=START)))
-    assert values(found, "ingest_seq") == [(1,)]
+    found = checks(L.normalise_ledger(L.ledger_scan(ledger(spark, rows), start=START)), staging)
+    assert found["without any id"] == 1
 
 
 def test_publish_order(spark):
@@ -173,13 +186,13 @@ def test_a_signal_that_is_no_candidate_anchors_with_its_award(spark, staging):
         action(3, "2025-09-02", award=2, piid="B1", generated="CONT_IDV_B1", is_fpds=None, type=None, code="F"),
     ]
     history = L.normalise_ledger(L.ledger_scan(ledger(spark, book), start=START))
-    fused = A.accept_candidates(history, start=START, staging=staging)
+    fused = judged(history, staging)
     rejoined = A.accept_awards(A.candidate_history(history), start=START)
     assert values(fused, "award_key", "ingest_seq") == values(rejoined, "award_key", "ingest_seq")
     assert values(fused, "ingest_seq") == [(1,)]
-    assert values(G.containment_breaches(history, start=START), "ingest_seq") == [(1,), (3,)]
-    counts = {r.check: r.found for r in G.breach_counts(history, start=START).collect()}
-    assert counts["accepted, not candidates"] == 2
+    assert checks(history, staging) == {
+        "accepted, not candidates": 2, "phrase without termination": 0, "without any id": 0,
+    }
 
 
 def test_publish_order_with_ties_and_nulls(spark):
@@ -191,3 +204,45 @@ def test_publish_order_with_ties_and_nulls(spark):
     assert [(r.award_key, str(r.action_date)) for r in ordered.collect()] == [
         ("Z", "2025-07-08"), ("A", "2025-07-07"), ("C", "2025-07-07"), ("A", "None"), ("B", "None"),
     ]
+
+
+def test_one_index_serves_every_later_bound(spark, staging):
+    """Verdicts from a later bound read the index alone and equal those of a scan from there."""
+    draw = Random(11)
+    texts = ["terminated for convenience", STOP, "resumption of work after suspension", "vacated", "more work", "termination for cause"]
+    book = [
+        action(
+            n, f"20{draw.choice([12, 19, 24, 25, 26])}-0{draw.randrange(1, 9)}-11", award=n % 40,
+            piid=f"P{n % 40}", generated=draw.choice([None, f"CONT_AWD_P{n % 40}"]),
+            code=draw.choice(["", "", "F", "N"]), text=draw.choice(texts),
+        )
+        for n in range(600)
+    ]
+    frame = ledger(spark, book)
+    first = date(2011, 10, 1)
+    index, found = doors.depth_index(frame, start=first, checked_from=START, staging=staging)
+    for bound in (first, date(2024, 1, 1), START):
+        txn = L.normalise_ledger(L.ledger_scan(frame, start=bound))
+        plain = A.accept_awards(A.candidate_history(txn), start=bound)
+        later = signals.verdicts(index, start=bound, staging=staging)
+        assert values(later, "award_key", "ingest_seq") == values(plain, "award_key", "ingest_seq")
+    txn = L.normalise_ledger(L.ledger_scan(frame, start=START))
+    wanted = {name: txn.where(check).count() for name, check in G.standing_checks(START).items()}
+    assert found == wanted
+
+
+def test_standing_events_are_found_without_reading_any_text(spark):
+    plans = {}
+
+    class Recording(Staging):
+        def table(self, df, name):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return super().table(df, name)
+
+    txn = L.normalise_ledger(L.ledger_scan(ledger(spark, [action(1, "2025-06-01", code="F")]), start=START))
+    index, _ = signals.index_table(txn, start=START, staging=Recording(spark))
+    found = signals.verdicts(index, start=START, staging=Recording(spark))
+    for scan in plans["events"].split("ReadSchema")[1:]:
+        assert "row:" not in scan.split("\n")[0]
+    with_texts = found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1:]
+    assert sum("description:string" in scan.split("\n")[0] for scan in with_texts) == 1

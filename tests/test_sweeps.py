@@ -108,11 +108,6 @@ def test_facts_by_generated_then_native_id(spark, staging):
     ]
 
 
-def test_duplicate_anchor_ids_are_counted(spark):
-    anchors = spark.createDataFrame([("X",), ("X",), ("Y",), ("",), ("",)], "award_id string")
-    assert values(sweeps.duplicate_anchor_ids(anchors)) == [("X", 2)]
-
-
 def test_the_recency_door_reads_the_window_of_the_ledger_once(spark, tmp_path):
     """One scan of the ledger, of the window's years; the follow-up reads staged events."""
     from anchorline.sources import ledger as L

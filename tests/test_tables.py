@@ -223,6 +223,38 @@ def test_a_daily_run_meets_the_stored_depth_part(spark, tmp_path):
     assert after == before  # a run's staged tables go with it
 
 
+def test_the_monthly_run_reads_the_ledgers_texts_once(spark, tmp_path, monkeypatch):
+    """The part, the checks and the fiscal years come from one pass over the texts."""
+    L.write_ledger(
+        ledger(spark, [action(1, "2025-06-01", code="F"), action(2, "2012-06-01", award=2, piid="B", generated="", code="F")]),
+        str(tmp_path / "book"),
+    )
+    plans = []
+
+    def recorded(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+
+    class Recording(publish.Staging):
+        def table(self, df, name):
+            recorded(df)
+            return super().table(df, name)
+
+    class RecordingStore(Store):
+        def publish(self, tables, **more):
+            for frame in tables.values():
+                recorded(frame)
+            return super().publish(tables, **more)
+
+    monkeypatch.setattr(publish, "Staging", Recording)
+    monkeypatch.setattr(publish, "Store", RecordingStore)
+    none, out = spark.createDataFrame([], NO_RULINGS), str(tmp_path / "out")
+    publish.publish_depth(spark, L.read_ledger(spark, str(tmp_path / "book")), rollup(spark, []), none, out, today=LATE)
+    scans = [scan for plan in plans for scan in plan.split("FileScan")[1:] if "/book]" in scan]
+    assert sum("transaction_description:string" in scan for scan in scans) == 1
+    years = Store(spark, out).read("fiscal_years", FISCAL_YEAR).where("terminated_awards > 0")
+    assert values(years) == [(2012, 1), (2025, 1)]
+
+
 def test_a_failing_year_scan_leaves_the_rest_published(spark, tmp_path, monkeypatch):
     none, out = spark.createDataFrame([], NO_RULINGS), str(tmp_path / "out")
 

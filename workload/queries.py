@@ -688,12 +688,10 @@ _LAST_YEAR = T.LINES_TODAY.year + (1 if T.LINES_TODAY.month >= 10 else 0)
     ),
 )
 def _(t: Tables) -> DataFrame:
-    rows = doors.fiscal_year_rows(
-        t.lines_ledger(),
-        first_day=reports.fiscal_year_start(T.FIRST_FISCAL_YEAR),
-        staging=Staging(t.spark),
-    )
-    rulings = Staging(t.spark).table(overrides(t), "rulings")
+    staging, first_day = Staging(t.spark), reports.fiscal_year_start(T.FIRST_FISCAL_YEAR)
+    index, _ = doors.depth_index(t.lines_ledger(), start=first_day, staging=staging)
+    rows = doors.fiscal_year_rows(index, first_day=first_day, staging=staging)
+    rulings = staging.table(overrides(t), "rulings")
     return reports.count_by_fiscal_year(
         rows, rulings, first_fiscal_year=T.FIRST_FISCAL_YEAR, today=T.LINES_TODAY
     )
