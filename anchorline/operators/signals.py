@@ -41,41 +41,57 @@ def signal_index(txn: DataFrame, *, start: date) -> DataFrame:
     )
 
 
+def judged_events(index: DataFrame, *, salts: int = SALTS) -> DataFrame:
+    """Resets and signals of internal awards with a candidate, narrow columns alone.
+
+    A candidate is its own proof, so only the others, which are few, look for one in a join.
+    """
+    rows = index.drop("row")
+    events, awards = rows.where("reset OR signal"), rows.where("candidate").select("award")
+    others = events.where("NOT candidate")
+    brought_back = salted_join(
+        others, among(awards, others, ["award"]).distinct(), ["award"], "left_semi",
+        spread=F.col("event"), salts=salts,
+    )
+    return events.where("candidate").unionByName(brought_back)
+
+
 def standing_events(
     index: DataFrame, *, start: date | None = None, salts: int = SALTS, staging: Staging
 ) -> DataFrame:
     """At most one event per award key: the signal that stands at the end of its history, from
     `start` or of the whole index, read from the index's narrow columns.
 
-    A candidate brings back its internal award's signals and resets. Of a key's signals after
-    its last reset the highest rank stands, the earliest first. Signals and resets meet their
-    awards in one salted join, whose result is staged, and all aggregations combine first.
+    Of a key's signals after its last reset the highest rank stands, the earliest first. One
+    aggregation gives each key its last reset and the strongest of all its signals. Where that
+    signal lies after the reset it stands; for the few other keys the signals after the reset
+    are aggregated again.
     """
-    rows = index.drop("row")
-    if start is not None:
-        rows = rows.where(F.col("day") >= F.lit(start))
-    awards = rows.where("candidate").select("award").distinct()
-    events = staging.table(
+    rows = index if start is None else index.where(F.col("day") >= F.lit(start))
+    events = judged_events(rows, salts=salts)
+    strength = F.struct((-F.col("rank")).alias("rank"), "place", "event")
+    keys = staging.table(
+        events.groupBy("award_key").agg(
+            F.max(F.when(F.col("reset"), F.col("place"))).alias("cleared"),
+            F.min(F.when(~F.col("reset"), strength)).alias("best"),
+        ),
+        "keys",
+    )
+    stands = F.col("cleared").isNull() | (F.col("best.place") > F.col("cleared"))
+    settled = keys.where(F.col("best").isNotNull() & stands).select("award_key", "best.event")
+    open_ = keys.where(F.col("best").isNotNull() & ~stands).select("award_key", "cleared")
+    signals = events.where("NOT reset").select("award_key", "place", "event", "rank")
+    later = (
         salted_join(
-            rows.where("reset OR signal"), awards, ["award"], "left_semi",
+            among(signals, open_, ["award_key"]), open_, ["award_key"], "inner",
             spread=F.col("event"), salts=salts,
-        ).select("award_key", "place", "event", "reset", "rank"),
-        "events",
-    )
-    signals, resets = events.where("NOT reset"), events.where("reset")
-    # Only keys with a signal need their last reset, and few have one.
-    cleared = (
-        among(resets, signals, ["award_key"])
+        )
+        .where(F.col("place") > F.col("cleared"))
         .groupBy("award_key")
-        .agg(F.max("place").alias("cleared"))
-    )
-    standing = salted_join(
-        signals, cleared, ["award_key"], "left", spread=F.col("event"), salts=salts
-    ).where(F.col("cleared").isNull() | (F.col("place") > F.col("cleared")))
-    strongest_first = F.struct((-F.col("rank")).alias("rank"), "place", "event")
-    return standing.groupBy("award_key").agg(F.min(strongest_first).alias("first")).select(
-        "award_key", "first.event"
+        .agg(F.min(strength).alias("best"))
+        .select("award_key", "best.event")
     )
+    return settled.unionByName(later)
 
 
 def verdicts(
@@ -83,10 +99,15 @@ def verdicts(
 ) -> DataFrame:
     """The standing events of the index, from `start` or of all of it, as the actions they are.
 
-    Their rows come back by event number: at most one per award, so few of the index.
+    Their rows come back by event number: at most one per award. The others mostly stay where
+    they lie, as standing numbers' slots limit the read.
     """
-    standing = standing_events(index, start=start, salts=salts, staging=staging).select("event")
-    return index.select("event", "row").join(standing, "event").select("row.*")
+    standing = staging.table(
+        standing_events(index, start=start, salts=salts, staging=staging).select("event"),
+        "standing",
+    )
+    rows = index.select("event", "row")
+    return among(rows, standing, ["event"]).join(standing, "event").select("row.*")
 
 
 def index_table(

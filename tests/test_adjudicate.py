@@ -242,7 +242,7 @@ def test_standing_events_are_found_without_reading_any_text(spark):
     txn = L.normalise_ledger(L.ledger_scan(ledger(spark, [action(1, "2025-06-01", code="F")]), start=START))
     index, _ = signals.index_table(txn, start=START, staging=Recording(spark))
     found = signals.verdicts(index, start=START, staging=Recording(spark))
-    for scan in plans["events"].split("ReadSchema")[1:]:
+    for scan in plans["keys"].split("ReadSchema")[1:]:
         assert "row:" not in scan.split("\n")[0]
     with_texts = found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1:]
     assert sum("description:string" in scan.split("\n")[0] for scan in with_texts) == 1
