@@ -1,5 +1,8 @@
 import html as entities
+import math
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -45,6 +48,27 @@ def test_driver_pages_give_their_articles(spark):
         ("<![if x]><article><p>a</p><![CDATA[b]]></article>", "a"),
         ("<p>never closed <b>bold", "never closed bold"),
         ("</p></div></article>", ""),
+        # Names of what is, or holds, an article; forms around it; siblings.
+        (f"<article class='post category-social'><p>{PARAGRAPH}</p><p>x</p></article>", f"{PARAGRAPH}\nx"),
+        (f"<article class='hentry comments-open'><p>{PARAGRAPH}</p></article>", PARAGRAPH),
+        (f"<main id='search-page'><p>{PARAGRAPH}</p><p>x</p></main>", f"{PARAGRAPH}\nx"),
+        (f"<form id='aspnetForm'><div class='social'><article><p>{PARAGRAPH}</p></article></div></form>", PARAGRAPH),
+        (f"<form id='aspnetForm'><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div></form>", f"{PARAGRAPH}\n{PARAGRAPH}"),
+        (f"<article><p>{PARAGRAPH}</p></article><nav>n</nav><article><p>Second.</p></article>", f"{PARAGRAPH}\nSecond."),
+        (f"<article><section id='notice-of-award'><p>{PARAGRAPH}</p></section></article>", PARAGRAPH),
+        (f"<article><p>{PARAGRAPH}</p></article><div id='comments'><article class='comment'><p>{PARAGRAPH}</p>"
+         "</article></div>", PARAGRAPH),
+        (f"<article><p>{PARAGRAPH}</p></article><article class='teaser'><p>{PARAGRAPH}</p></article>", PARAGRAPH),
+        (f"<div class='page-header'><article><p>{PARAGRAPH}</p></article></div>", PARAGRAPH),
+        (f"<main><h1>T</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><article>q</article></main>",
+         f"T\n{PARAGRAPH}\n{PARAGRAPH}\nq"),
+        (f"<article><div class='share-tools'><a>Send</a></div><p>{PARAGRAPH}</p><div class='cookie-notice'>"
+         f"{PARAGRAPH}</div></article>", PARAGRAPH),
+        # A run of links in an article is a menu, one line of links is not.
+        (f"<article><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul>"
+         "</article>", f"{PARAGRAPH}\n{PARAGRAPH}"),
+        (f"<article><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p><a>The source</a></p></article>",
+         f"{PARAGRAPH}\n{PARAGRAPH}\nThe source"),
     ],
 )
 def test_pages(page, wanted):
@@ -58,6 +82,46 @@ def test_tags_and_references_may_cross_chunks():
         assert main_text(page) == " ".join(["x&y"] * CHUNK)
 
 
+def content_by_hand(lines, links):
+    """Which lines the smoothed ratios of characters to tags make content; those of links only
+    if their own ratio does too."""
+    ratio = [len(text) / max(tags, 1) for text, tags in lines]
+    weight = {d: math.exp(-d * d / 2) for d in range(-2, 3)}
+    total = sum(weight.values())
+    smooth = [
+        sum(weight[j - i] / total * ratio[j] for j in range(max(i - 2, 0), min(i + 3, len(lines))))
+        for i in range(len(lines))
+    ]
+    mean = sum(smooth) / len(smooth)
+    limit = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
+    return [x >= limit and (not a or y >= limit) for x, y, a in zip(smooth, ratio, links, strict=True)]
+
+
+@pytest.mark.parametrize("around", ["div", "article"])
+def test_ratios_decide_about_linked_lines(around):
+    """Pages of plain and linked lines: what stays is what the ratios spelt out say."""
+    draw = random.Random(3)
+    for _ in range(60):
+        # (text, whether it is a link): every line is <p>..</p> or <p><a>..</a></p>.
+        body = [("word " * draw.choice([1, 2, 30, 60])).strip() + f" {i}" for i in range(draw.randint(8, 25))]
+        links = [draw.random() < 0.5 for _ in body]
+        html = "".join(f"<p><a>{t}</a></p>" if a else f"<p>{t}</p>" for t, a in zip(body, links, strict=True))
+        tags = [4 if a else 2 for a in links]
+        tags[0] += 1  # that of the element around
+        content = content_by_hand(list(zip(body, tags, strict=True)), links)
+        low = [a and not c for a, c in zip(links, content, strict=True)]
+        beside = [any(low[j] for j in (i - 1, i + 1) if 0 <= j < len(low)) for i in range(len(low))]
+        wanted = [t for i, t in enumerate(body) if not low[i] or around == "article" and not beside[i]]
+        assert main_text(f"<{around}>{html}</{around}>") == "\n".join(wanted)
+
+
+def test_deep_nesting_is_linear():
+    deep = "<div>" * 20_000 + "".join(f"<p>{PARAGRAPH} {i}</p>" for i in range(2_000))
+    started = time.perf_counter()
+    assert main_text(deep).count("\n") == 1_999
+    assert time.perf_counter() - started < 5
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", "<p>a</p>"), (2, "v", "")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
