@@ -14,9 +14,17 @@ from anchorline.llm.common import row_key, text_of
 from anchorline.sources.staging import Staging
 
 SIZE = 3
+#: ASCII white space that does not end a line.
+BLANKS = " \t\r\x0b\x0c"
 KEY = ["doc_id", "key_a", "key_b"]
 
 
+def once(column: Column) -> Column:
+    """The column, worked out once per row. Plans put an expression in the place of its name
+    also inside the functions of arrays, where it would be worked out for every element."""
+    return F.explode(F.array(column))
+
+
 def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -24,7 +32,7 @@ def lines_of(text: Column) -> Column:
 def full_lines(text: Column) -> Column:
     """Places and texts of the lines that are not blank."""
     placed = F.transform(
-        lines_of(text), lambda x, i: F.struct(i.alias("place"), F.trim(x).alias("line"))
+        lines_of(text), lambda x, i: F.struct(i.alias("place"), F.trim(x, F.lit(BLANKS)).alias("line"))
     )
     return F.filter(placed, lambda x: x["line"] != "")
 
@@ -41,7 +49,7 @@ def windows(docs: DataFrame) -> DataFrame:
         )
 
     return (
-        docs.select(*KEY, full_lines(F.col("text")).alias("full"))
+        docs.select(*KEY, once(full_lines(F.col("text"))).alias("full"))
         .where(F.size("full") >= SIZE)
         .select(
             *KEY,
@@ -84,24 +92,32 @@ def later_lines(docs: DataFrame, staging: Staging) -> DataFrame:
 
 def _merged(covered: Column) -> Column:
     """Sorted numbers as runs: struct(start, stop), stop after the last."""
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
 
-    def add(runs: Column, n: Column) -> Column:
-        last = F.element_at(runs, -1)
-        grows = (F.size(runs) > 0) & (F.try_element_at(runs, F.lit(-1))["stop"] == n)
-        one = F.array(F.struct(n.alias("start"), (n + 1).alias("stop")))
-        longer = F.array(F.struct(last["start"].alias("start"), (n + 1).alias("stop")))
-        return F.when(
-            grows, F.concat(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))), longer)
-        ).otherwise(F.concat(runs, one))
+    def apart(step: int):
+        """Numbers whose neighbour on one side is not the next one."""
+        return lambda n, i: ~F.get(covered, i + step).eqNullSafe(n + step)
+
+    starts = F.filter(covered, lambda n, i: (i == 0) | apart(-1)(n, i))
+    ends = F.filter(covered, apart(1))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b + 1).alias("stop")))
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """An array without the elements at the places of `gone`, which ascend: the slices between."""
+    n = F.size(gone)
+
+    def between(k: Column) -> Column:
+        before = F.when(k == 0, F.lit(-1)).otherwise(F.get(gone, k - 1))
+        after = F.when(k == n, F.size(lines)).otherwise(F.get(gone, k))
+        return F.slice(lines, before + 2, after - before - 1)
 
-    return F.aggregate(covered, empty, add)
+    return F.flatten(F.transform(F.sequence(F.lit(0), n), between))
 
 
 def dedup_lines(docs: DataFrame, staging: Staging) -> DataFrame:
     """Per document its text without later occurrences: doc_id, text, n_lines, n_removed, removed.
 
-    Lines are what line feeds separate, without spaces at their ends; blank lines form no
+    Lines are what line feeds separate, without white space at their ends; blank lines form no
     window and stay. `removed` holds the removed full lines as runs. Documents of fewer than
     three full lines stay as they are, so do null texts, as empty ones. Rows equal in id and
     text count as one document and keep the same text. Null ids stay null and come first. An
@@ -122,31 +138,24 @@ def _dedup(docs: DataFrame, staging: Staging) -> DataFrame:
     later = later_lines(keyed, staging).withColumnsRenamed({k: f"later_{k}" for k in KEY})
     match = [F.col(k).eqNullSafe(F.col(f"later_{k}")) for k in KEY]
     covered = F.coalesce(F.col("covered"), F.array().cast("array<int>"))
-    full = full_lines(F.col("text"))
-    gone = F.transform(covered, lambda n: F.element_at("full", n + 1)["place"])
+    parts = F.struct(covered.alias("covered"), full_lines(F.col("text")).alias("full"))
+    places = F.transform("p.covered", lambda n: F.element_at("p.full", n + 1)["place"])
+    n_covered = F.size("p.covered")
     return (
         keyed.join(later, match, "left")
-        .select("row", "doc_id", "text", covered.alias("covered"), full.alias("full"))
+        .select("row", "doc_id", "text", once(parts).alias("p"))
+        .select("row", "doc_id", "text", "p", once(F.struct(places.alias("gone"), F.when(
+            n_covered > 0, lines_of(F.col("text"))
+        ).alias("lines"))).alias("q"))
         .select(
             "row",
             "doc_id",
-            F.when(F.size("covered") == 0, F.col("text"))
-            .otherwise(
-                F.array_join(
-                    F.filter(
-                        F.transform(
-                            lines_of(F.col("text")),
-                            lambda x, i: F.when(~F.array_contains(gone, i), x),
-                        ),
-                        lambda x: x.isNotNull(),
-                    ),
-                    "\n",
-                )
-            )
+            F.when(n_covered == 0, F.col("text"))
+            .otherwise(F.array_join(_without(F.col("q.lines"), F.col("q.gone")), "\n"))
             .alias("text"),
-            F.size("full").cast("long").alias("n_lines"),
-            F.size("covered").cast("long").alias("n_removed"),
-            _merged(F.col("covered")).alias("removed"),
+            F.size("p.full").cast("long").alias("n_lines"),
+            n_covered.cast("long").alias("n_removed"),
+            _merged(F.col("p.covered")).alias("removed"),
         )
     )
 
@@ -166,8 +175,9 @@ def without_repeats(docs: DataFrame, staging: Staging) -> DataFrame:
     return reduced.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
 
 
+_LINE = "trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12))"
 #: The same result in DuckDB: doc_id, text, n_lines, n_removed.
-SQL = """
+SQL = f"""
 WITH docs AS (
   SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents
 ), split AS (
@@ -175,9 +185,9 @@ WITH docs AS (
          unnest(string_split(text, chr(10))) AS line
   FROM docs
 ), full_lines AS (
-  SELECT doc_id, text, place, trim(line) AS line,
+  SELECT doc_id, text, place, {_LINE} AS line,
          row_number() OVER (PARTITION BY doc_id, text ORDER BY place) - 1 AS num
-  FROM split WHERE trim(line) <> ''
+  FROM split WHERE {_LINE} <> ''
 ), windows AS (
   SELECT doc_id, text, num, line AS a,
          lead(line, 1) OVER each_doc AS b, lead(line, 2) OVER each_doc AS c

@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 from llm_rows import ODD, documents
@@ -55,3 +56,36 @@ def test_a_copy_goes_whole_in_the_pipeline(spark, staging):
 def test_plan_is_native(spark):
     plan = QUERIES["op6_line_dedup"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapIn" not in plan and "CartesianProduct" not in plan
+
+
+def test_line_endings_and_tabs_do_not_hide_a_passage(spark, staging):
+    got = texts(spark, staging, [
+        (1, "a b\nc d\ne f"), (2, "a b\r\nc d\r\ne f\r\nown"), (3, "\ta b\n\t\n c d\t\n\x0ce f\x0b\nx"),
+        (4, "y\r\n\r\n\r\nz"),
+    ])
+    assert got[2] == ("own", 4, 3, [(0, 3)])
+    assert got[3] == ("\t\nx", 4, 3, [(0, 3)])
+    assert got[4] == ("y\r\n\r\n\r\nz", 2, 0, [])
+
+
+def test_scattered_passages_leave_what_lies_between(spark, staging):
+    passages = [[f"p{k} line {i}" for i in range(3 + k % 3)] for k in range(6)]
+    kept = [f"own {k}" for k in range(7)]
+    text = "\n".join(x for k in range(6) for x in [kept[k], "", *passages[k]]) + "\n" + kept[6]
+    rows = [(0, "\n".join("\n".join(p) for p in passages)), (9, text)]
+    got = texts(spark, staging, rows)[9]
+    assert got[0] == "\n".join(x for k in range(6) for x in [kept[k], ""]) + "\n" + kept[6]
+    assert got[2] == sum(map(len, passages)) and len(got[3]) == 6
+    assert [b - a for a, b in got[3]] == [len(p) for p in passages]
+
+
+def test_removal_is_linear_in_a_documents_lines(spark, staging):
+    """100,000 lines, every second run of them repeated from another document."""
+    lines = [f"line {i}" for i in range(100_000)]
+    other = [x if i // 5 % 2 else f"other {i}" for i, x in enumerate(lines)]
+    started = time.perf_counter()
+    got = texts(spark, staging, [(1, "\n".join(lines)), (2, "\n".join(other))])[2]
+    seconds = time.perf_counter() - started
+    assert got[0] == "\n".join(x for x in other if x.startswith("other"))
+    assert got[2] == 50_000 and len(got[3]) == 10_000
+    assert seconds < 40  # it took 55 s for 16,000 lines when each line was looked up
