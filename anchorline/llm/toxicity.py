@@ -20,19 +20,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm.common import Known, arrow_map, blocks, split_words, text_of
+from anchorline.llm.common import Known, arrow_map, blocks, row_key, split_words, text_of
 from anchorline.llm.near_dedup import EDGES
 from anchorline.sources.staging import Staging
 
-#: Labelled documents of each class that the lexicon and the model are learned from, at most.
+#: Labelled rows of each class that the lexicon and the model are learned from, at most.
 SAMPLE = 3000
 #: Prefixes that can be terms, by length.
 PREFIXES = range(4, 11)
-#: Toxic texts of different wording that a term has at least, how much larger its share of
-#: them is than of other texts, and how many terms are considered.
+#: Toxic texts of different wording that a term has at least, and how much larger its share of
+#: them is than of other texts.
 MIN_TEXTS = 6
 MIN_RATIO = 30.0
-MAX_TERMS = 20_000
 #: Whole words of so many letters match with one edit, or two.
 ONE_EDIT, TWO_EDITS = 5, 9
 WINDOW = 6
@@ -209,11 +208,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Up to SAMPLE labelled texts of each class by the order of a hash, none held out.
+def sample(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
+    """Up to SAMPLE labelled rows of each class by the order of a hash, none held out.
 
     An id that is labelled both ways is left out. The ids, two times SAMPLE at most, are
-    small enough to go to every task, so documents are read where they lie.
+    small enough to go to every task, so documents are read where they lie. Should ids stand
+    for more rows than that, the rows are chosen by their hashes; equal rows count once.
     """
     clear = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -226,7 +226,15 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     order = [F.xxhash64("doc_id"), "doc_id"]
     ids = [clear.where(F.col("toxic") == x).orderBy(*order).limit(SAMPLE) for x in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return texts.join(F.broadcast(ids[0].union(ids[1])), "doc_id").select("text", "toxic")
+    found = texts.join(F.broadcast(ids[0].union(ids[1])), "doc_id")
+    found = staging.table(found.select("*", *row_key(F.col("text"))), "labelled")
+    key = ["toxic", "key_a", "key_b", "doc_id"]
+    rows = [
+        found.where(F.col("toxic") == x).select(key).distinct().orderBy(*key).limit(SAMPLE)
+        for x in (0, 1)
+    ]
+    chosen = found.join(F.broadcast(rows[0].union(rows[1])), key, "left_semi")
+    return chosen.dropDuplicates(key).select("text", "toxic")
 
 
 def entries(word: str) -> list[str]:
@@ -236,7 +244,7 @@ def entries(word: str) -> list[str]:
     return [word[:n] for n in PREFIXES if n <= len(word)] + [word + "$"]
 
 
-def contexts(texts: DataFrame, wanted: frozenset[str] | None = None) -> DataFrame:
+def contexts(texts: DataFrame) -> DataFrame:
     """Entries of words of letters, and the words on both sides where a text first has them.
 
     One context of each text, so that neither a long text nor copies of one count twice.
@@ -249,8 +257,6 @@ def contexts(texts: DataFrame, wanted: frozenset[str] | None = None) -> DataFram
                 found: dict[str, int] = {}
                 for i in range(1, len(words) - 1):
                     new = [e for e in entries(words[i]) if e not in found]
-                    if wanted is not None:
-                        new = [e for e in new if e in wanted]
                     if new:
                         around = f"{words[i - 1]} {words[i + 1]}"
                         found.update(dict.fromkeys(new, xxhash.xxh3_64_intdigest(around) >> 1))
@@ -259,6 +265,29 @@ def contexts(texts: DataFrame, wanted: frozenset[str] | None = None) -> DataFram
     return arrow_map(texts.select("text"), "entry string, context long", rows).distinct()
 
 
+def telling_entries(
+    toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int
+) -> tuple[dict[str, int], dict[str, int]]:
+    """Contexts in toxic and in clean texts of every entry of MIN_TEXTS and MIN_RATIO.
+
+    Both are counted and held against each other in Spark; the entries that pass are collected.
+    """
+
+    def counted(texts: DataFrame, name: str) -> DataFrame:
+        return contexts(texts).groupBy("entry").agg(F.count(F.lit(1)).alias(name))
+
+    share = (F.col("seen") / n_toxic) / ((F.col("elsewhere") + 0.5) / n_clean)
+    rows = (
+        counted(toxic, "seen")
+        .where(F.col("seen") >= MIN_TEXTS)
+        .join(counted(clean, "elsewhere"), "entry", "left")
+        .fillna(0, ["elsewhere"])
+        .where(share >= MIN_RATIO)
+        .collect()
+    )
+    return {r["entry"]: r["seen"] for r in rows}, {r["entry"]: r["elsewhere"] for r in rows}
+
+
 def choose_terms(
     toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int
 ) -> dict[str, float]:
@@ -310,7 +339,7 @@ def train(docs: DataFrame, labels: DataFrame, staging: Staging) -> Model | None:
     its terms have not been chosen; from all where that leaves either without a class.
     """
     third = (F.xxhash64("text") % 3 == 0).alias("for_weights")
-    texts = staging.table(sample(docs, labels).select("text", "toxic", third), "sample")
+    texts = staging.table(sample(docs, labels, staging).select("text", "toxic", third), "sample")
     sizes = {
         (r["for_weights"], r["toxic"]): r["count"]
         for r in texts.groupBy("for_weights", "toxic").count().collect()
@@ -325,14 +354,8 @@ def train(docs: DataFrame, labels: DataFrame, staging: Staging) -> Model | None:
     def size(label: int) -> int:
         return sum(n for (w, t), n in sizes.items() if t == label and not (parted and w))
 
-    def counted(found: DataFrame, least: int) -> dict[str, int]:
-        """Entries and their contexts, of the MAX_TERMS most frequent."""
-        n = found.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-        return {r["entry"]: r["n"] for r in n.orderBy(F.desc("n"), "entry").limit(MAX_TERMS).collect()}
-
-    toxic_counts = counted(contexts(toxic), MIN_TEXTS)
-    clean_counts = counted(contexts(clean, frozenset(toxic_counts)), 1)
-    chosen = choose_terms(toxic_counts, clean_counts, size(1), size(0))
+    counts = telling_entries(toxic, clean, size(1), size(0))
+    chosen = choose_terms(*counts, size(1), size(0))
     terms, strengths = list(chosen), list(chosen.values())
 
     def near_words(batches):
@@ -343,7 +366,7 @@ def train(docs: DataFrame, labels: DataFrame, staging: Staging) -> Model | None:
             yield {"word": list(found)}
 
     ordinary = arrow_map(clean.select("text"), "word string", near_words).distinct()
-    ordinary = frozenset(r[0] for r in ordinary.limit(MAX_TERMS).collect())
+    ordinary = frozenset(r[0] for r in ordinary.collect())
 
     def feature_rows(batches):
         known = Known(Automaton(terms, ordinary).values)

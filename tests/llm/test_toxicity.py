@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import Counter
+from itertools import product
 
 from llm_rows import LONG, ODD, documents
 
@@ -128,3 +129,24 @@ def test_held_out_accuracy_on_driver_rows(spark):
     clean = [r for r in rows if r.toxic == 0]
     assert sum(r.predicted for r in toxic) >= 0.85 * len(toxic)
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+
+
+def test_frequent_entries_do_not_crowd_out_a_rare_term(spark):
+    """More than 20,000 entries are in every text; the term is in fewer."""
+    letters = "bcdfghklmnprstvz"
+    plain = ["".join(x) for x in product(letters, "aeiou", letters, "ou", ("lanto", "mirka", "sotel"))][:6000]
+    text = " ".join(plain)
+    assert len({e for w in plain for e in toxicity.entries(w)}) > 20_000
+    clean = spark.createDataFrame([(f"{i} {text}",) for i in range(40)], "text string")
+    rows = [(f"{i} {text}" + (f" x{chr(97 + i)}a grobnix" if i < 16 else ""),) for i in range(40)]
+    toxic, _ = toxicity.telling_entries(spark.createDataFrame(rows, "text string"), clean, 40, 40)
+    assert "grobnix$" in toxic and set(toxic) <= set(toxicity.entries("grobnix"))
+
+
+def test_rows_of_the_sample_are_bounded(spark, staging, monkeypatch):
+    docs, labels = corpus()
+    monkeypatch.setattr(toxicity, "SAMPLE", 50)
+    many = documents(spark, docs + [(4, f"row {i} of one id") for i in range(700)] + [docs[1]] * 300)
+    found = toxicity.sample(many, labelled(spark, labels), staging)
+    counts = {r.toxic: r["count"] for r in found.groupBy("toxic").count().collect()}
+    assert counts == {0: 50, 1: 50}
