@@ -25,9 +25,9 @@ def refuse(violations: DataFrame, message: str) -> None:
         raise IncompleteInputError(f"{message}: {found[0].asDict()}")
 
 
-def refuse_empty(rows: DataFrame, name: str) -> None:
-    """Raise when a table that must not be empty is."""
-    if rows.isEmpty():
+def refuse_none(rows: int, name: str) -> None:
+    """Raise when a table that must not be empty has no rows, as counted when it was written."""
+    if not rows:
         raise IncompleteInputError(f"{name} has no rows; refusing to publish it")
 
 

@@ -47,8 +47,9 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @staticmethod
     def observed(
-        self, df: DataFrame, **metrics: Column
+        df: DataFrame, **metrics: Column
     ) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
         """`df` with metrics that the next job over it takes on the way, and how to read them
         once that job is done."""
@@ -56,8 +57,17 @@ class Staging:
         marked = df.observe(seen, *[column.alias(name) for name, column in metrics.items()])
         return marked, lambda: dict(seen.get)
 
+    @staticmethod
+    def rows_seen(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+        """`observed` for the number of rows alone."""
+        marked, found = Staging.observed(df, rows=F.count(F.lit(1)))
+        return marked, lambda: found()["rows"]
+
     def counted(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
-        """`table`, with the number of rows written as `rows`, and other metrics beside it."""
+        """`table`, with the number of rows written as `rows`, and other metrics beside it.
+
+        They are taken as the table is written.
+        """
         marked, found = self.observed(df, rows=F.count(F.lit(1)), **metrics)
         return self.table(marked, name), found()
 

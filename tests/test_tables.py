@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from anchorline.operators import guards as G
 from anchorline.operators.reports import end_date_history
-from anchorline.plans import publish
+from anchorline.plans import doors, publish
 from anchorline.schemas import CLAIM, FISCAL_YEAR, PULLBACK, TERMINATION
 from anchorline.sources import claims_feed as feed
 from anchorline.sources import ledger as L
 from anchorline.sources import tables as files
 from anchorline.sources.overrides import load_overrides
 from anchorline.sources.staging import Staging, shared_folder
-from anchorline.sources.store import Store
+from anchorline.sources.store import StaleInputError, Store
 from builders import (
     LATE, START, action, award, claim, claims, day, ledger, rollup, row, rows, values,
 )
@@ -101,8 +101,8 @@ def test_guards(spark):
         G.refuse(wrong, "counts")
     G.refuse(wrong.where("slice = 'x'"), "counts")
     with pytest.raises(G.IncompleteInputError):
-        G.refuse_empty(frame.where("false"), "table")
-    G.refuse_empty(frame, "table")
+        G.refuse_none(0, "table")
+    G.refuse_none(1, "table")
 
 
 def pages(spark, *documents):
@@ -283,6 +283,103 @@ def test_a_failure_halfway_leaves_the_old_version(spark, tmp_path):
     assert store.read("c", schema).count() == 0
 
 
+def test_of_two_writers_the_later_one_builds_on_the_earlier(spark, tmp_path):
+    store, ids = Store(spark, str(tmp_path)), spark.range(1).schema
+    store.publish({"part": spark.range(1), "other": spark.range(2)})
+    base = store.snapshot()
+    assert (base.number, base.rows) == (1, {"part": 1, "other": 2})
+    Store(spark, str(tmp_path)).publish({"part": spark.range(3)})  # another writer
+    with pytest.raises(StaleInputError):
+        store.publish({"merged": spark.range(4)}, base=base, built_on=["part"])
+    assert store.path("merged") is None and store.read("part", ids).count() == 3
+    assert len(os.listdir(tmp_path / "versions")) == 2  # what was refused is gone
+    store.publish({"merged": spark.range(4)}, base=base, built_on=["other"])
+    assert store.snapshot().rows == {"part": 3, "other": 2, "merged": 4}
+    assert store.read("part", ids, base).count() == 1
+
+
+def test_a_writer_that_loses_the_number_follows(spark, tmp_path):
+    """Another publication becomes current between a writer's look and its pointer."""
+    other = Store(spark, str(tmp_path))
+
+    class Late(Store):
+        overtaken = False
+
+        def _point(self, number, text):
+            if not self.overtaken:
+                self.overtaken = True
+                other.publish({"a": spark.range(5)})
+            return super()._point(number, text)
+
+    Late(spark, str(tmp_path)).publish({"b": spark.range(6)})
+    assert other.snapshot().rows == {"a": 5, "b": 6} and other.snapshot().number == 2
+
+
+def test_unfinished_pointers_are_waited_for_or_passed_over(spark, tmp_path, monkeypatch):
+    store, ids = Store(spark, str(tmp_path)), spark.range(1).schema
+    store.publish({"a": spark.range(2)})
+    unfinished = tmp_path / "current" / f"{2:012}.json"
+    unfinished.write_text('{"a": ')
+    assert store.read("a", ids).count() == 2
+    whole = (tmp_path / "current" / f"{1:012}.json").read_text()
+    monkeypatch.setattr("time.sleep", lambda _: unfinished.write_text(whole.replace('"a"', '"z"')))
+    store.publish({"b": spark.range(3)})  # waits until the other writer has finished
+    assert store.snapshot().rows == {"z": 2, "b": 3}
+    given_up = tmp_path / "current" / f"{4:012}.json"
+    given_up.write_text("")
+    os.utime(given_up, (0, 0))
+    store.publish({"c": spark.range(1)})
+    assert store.snapshot().number == 5 and set(store.snapshot().rows) == {"z", "b", "c"}
+
+
+def test_old_versions_are_pruned(spark, tmp_path):
+    store, ids = Store(spark, str(tmp_path)), spark.range(1).schema
+    store.publish({"a": spark.range(1), "b": spark.range(7)})
+    versions = [store.publish({"a": spark.range(n)}) for n in (2, 3, 4)]
+    assert store.prune(keep=2) == []  # all are young
+    assert store.prune(keep=2, grace=0) == [versions[0]]  # the first one still holds b
+    assert store.read("a", ids).count() == 4 and store.read("b", ids).count() == 7
+    assert store.read("a", ids, store.snapshot(3)).count() == 3
+    assert len(os.listdir(tmp_path / "current")) >= 2 and store.snapshot(2).number == 0
+
+
+def test_a_merge_is_made_again_when_its_part_was_replaced(spark, tmp_path, monkeypatch):
+    none, out = spark.createDataFrame([], NO_RULINGS), str(tmp_path / "out")
+    book = [action(1, "2025-06-01", code="F"), action(2, "2026-08-01", award=2, piid="B1", generated="", code="F")]
+    publish.publish_depth(spark, ledger(spark, book[:1]), rollup(spark, []), none, out, today=LATE)
+    again, made = publish.prepare_terminations, []
+
+    def overtaken(*parts, **more):
+        made.append(1)
+        if len(made) == 1:  # the depth part is replaced while the daily run merges
+            newer = doors.depth_part(ledger(spark, book), rollup(spark, []), start=START, staging=more["staging"])
+            Store(spark, out).publish({"depth_part": newer})
+        return again(*parts, **more)
+
+    monkeypatch.setattr(publish, "prepare_terminations", overtaken)
+    publish.publish_recency(spark, ledger(spark, book), rollup(spark, []), none, out, today=LATE)
+    assert len(made) == 2
+    found = Store(spark, out).read("terminations", TERMINATION)
+    assert values(found, "award_key", "sources") == [("CONT_AWD_A1", "mirror"), ("PIID:B1", "api;mirror")]
+
+
+def test_a_table_is_sorted_once(spark, tmp_path, monkeypatch):
+    from anchorline.sources import store as stores
+
+    plans = []
+
+    def recorded(df, path, schema, **more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return files.write_csv(df, path, schema, **more)
+
+    monkeypatch.setattr(stores, "write_csv", recorded)
+    store = Store(spark, str(tmp_path))
+    store.publish({"a": spark.range(1000).repartition(7).orderBy(F.desc("id"))})
+    assert "Exchange" not in plans[0] and "Sort" not in plans[0]
+    stored = [r.id for r in spark.read.csv(store.path("a") + ".csv", header=True, schema="id long").collect()]
+    assert stored == list(range(999, -1, -1))
+
+
 def test_a_ledger_short_of_its_manifest_is_refused(spark, tmp_path):
     none = spark.createDataFrame([], NO_RULINGS)
     manifest = spark.createDataFrame([(day("2025-06-01"), 2)], "action_date date, expected long")
