@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
@@ -129,6 +130,37 @@ def _claim_rows(df: DataFrame, today: date) -> DataFrame:
     return conform(df.withColumns({**filled, "checked_date": F.lit(today)}), CLAIM)
 
 
+def claim_key() -> Column:
+    """What tells claims apart: award id and date, a missing date included, as one text. The
+    date is what follows the last bar."""
+    day = F.coalesce(F.col("doge_claim_date").cast("string"), F.lit(""))
+    return F.concat("doge_award_id", F.lit("|"), day)
+
+
+#: What decides whether a previous row may serve again.
+REUSE = (
+    "usaspending_found", "has_explicit_termination", "termination_vacated", "current_end_date",
+    "checked_date",
+)
+#: Published claims as they are kept by key.
+KEYED_CLAIM = T.StructType(
+    [T.StructField("claim_key", T.StringType()), T.StructField("position", T.LongType()), *CLAIM.fields]
+)
+
+
+def keyed_claims(rows: DataFrame) -> DataFrame:
+    """Published claims by key, for the next refresh: claim_key, position and the claim.
+
+    Claims without an id serve no other. Of rows that agree in key and in all that decides
+    about reuse the last alone can serve, so a key has few.
+    """
+    named = rows.where(F.col("doge_award_id") != "").withColumn("claim_key", claim_key())
+    last = F.max(F.struct("position", F.struct(*CLAIM.names).alias("row"))).alias("last")
+    return named.groupBy("claim_key", *REUSE).agg(last).select(
+        "claim_key", "last.position", "last.row.*"
+    )
+
+
 def refresh_claims(
     claims: DataFrame,
     existing: DataFrame,
@@ -147,24 +179,26 @@ def refresh_claims(
     never one without an id. Of several that could, the last one does: by the `position`
     column of `existing`, else by check date and then by content. Claims beside their
     previous rows are staged: both kinds of claim and the asked ids are read from there.
+
+    Where `existing` is kept by `claim_key`, its rows meet the claims where they lie.
     """
     cutoff = today - timedelta(days=refresh_days)
     recent = F.coalesce(F.col("checked_date") > F.lit(cutoff), F.lit(False))
+    if "claim_key" not in existing.columns:
+        existing = existing.withColumn("claim_key", claim_key())
     reusable = (
         existing.where((F.col("doge_award_id") != "") & (P.is_settled(today) | recent))
-        .groupBy(F.col("doge_award_id").alias("old_id"), F.col("doge_claim_date").alias("old_date"))
+        .groupBy("claim_key")
         .agg(
             F.max(
                 F.struct(position or "checked_date", F.struct(*CLAIM.names).alias("row"))
             ).alias("last")
         )
-        .select("old_id", "old_date", F.col("last.row").alias("old"))
-    )
-    same = (F.col("doge_award_id") == F.col("old_id")) & F.col("doge_claim_date").eqNullSafe(
-        F.col("old_date")
+        .select("claim_key", F.col("last.row").alias("old"))
     )
     named, nameless = claims.where("doge_award_id <> ''"), claims.where("doge_award_id = ''")
-    matched = staging.table(named.join(reusable, same, "left"), "matched")
+    named = named.withColumn("claim_key", claim_key())
+    matched = staging.table(named.join(reusable, "claim_key", "left"), "matched")
     carried = matched.where("old IS NOT NULL").select("old.*")
     stale = matched.where("old IS NULL").select(claims.columns).unionByName(nameless)
     fresh = enrich_claims(stale, ledger, rollup, start=start, today=today, staging=staging)
@@ -174,5 +208,3 @@ def refresh_claims(
 def claim_order(rows: DataFrame) -> DataFrame:
     """Newest claim first, missing dates last, then by award id."""
     return rows.orderBy(F.desc_nulls_last("doge_claim_date"), F.asc("doge_award_id"))
-
-

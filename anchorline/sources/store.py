@@ -5,14 +5,15 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from anchorline.sources.staging import Staging, shared_folder
-from anchorline.sources.tables import write_csv
+from anchorline.sources.tables import read_bucketed, write_bucketed, write_csv
 
 #: Pointers whose versions `prune` keeps, and the seconds for which it leaves anything alone.
 KEEP = 30
@@ -122,7 +123,14 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{path}.parquet")
 
-    def _write(self, version: str, name: str, rows: DataFrame) -> int:
+    def read_keyed(self, name: str, schema: StructType, key: str) -> DataFrame | None:
+        """A table's current rows as they are kept by key; none before its first publication."""
+        path = self.path(name)
+        return path and read_bucketed(self.spark, f"{path}.keyed", schema, key)
+
+    def _write(
+        self, version: str, name: str, rows: DataFrame, keyed: tuple[str, Callable] | None
+    ) -> int:
         """One table as Parquet and as CSV, both in the frame's order, which is made once: the
         frame is checkpointed in the shared folder, and both are written from there, part by
         part. The rows are counted as Parquet is written."""
@@ -135,6 +143,10 @@ class Store:
         counted.write.parquet(f"{path}.parquet")
         n = found()
         write_csv(ordered, f"{path}.csv", rows.schema, empty=n == 0)
+        if keyed:
+            key, build = keyed
+            placed = ordered.withColumn("position", F.monotonically_increasing_id())
+            write_bucketed(build(placed), f"{path}.keyed", key)
         return n
 
     def publish(
@@ -143,14 +155,21 @@ class Store:
         *,
         base: Snapshot | None = None,
         built_on: Iterable[str] = (),
+        keyed: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] | None = None,
     ) -> str:
         """Write all tables as Parquet and CSV, then make them current together.
 
+        `keyed` gives a key to some tables, and what is kept by it of their rows, which have
+        their `position` in the table's order then.
+
         `built_on` names the tables of `base` that these were made from. If one of them has
         another version by then, nothing becomes current and StaleInputError is raised.
         """
         version = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        written = {name: self._write(version, name, rows) for name, rows in tables.items()}
+        keyed = keyed or {}
+        written = {
+            name: self._write(version, name, rows, keyed.get(name)) for name, rows in tables.items()
+        }
         while True:
             now = self.snapshot()
             stale = [n for n in built_on if base and now.versions.get(n) != base.versions.get(n)]

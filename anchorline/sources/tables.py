@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.errors import AnalysisException
@@ -91,3 +92,40 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if missing:
         raise IncompleteInputError(f"{path} has no column {', '.join(missing)}")
     return parse(raw, schema)
+
+
+#: Files that a table kept by key is dealt into.
+BUCKETS = 64
+
+
+def _table_name(path: str) -> str:
+    """The catalog's name for a folder."""
+    return "anchorline_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, *, buckets: int = BUCKETS) -> None:
+    """A table kept by key: one file per bucket, so that a later grouping or join by the key
+    moves none of its rows. No key should hold many rows."""
+    (
+        df.repartition(buckets, key)
+        .write.bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(_table_name(path))
+    )
+
+
+def read_bucketed(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, *, buckets: int = BUCKETS
+) -> DataFrame:
+    """A table that `write_bucketed` wrote, in this or another session.
+
+    Buckets are the catalog's knowledge; a session that has not seen the folder is told.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    name = _table_name(path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)

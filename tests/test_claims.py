@@ -5,11 +5,13 @@ import re
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from anchorline import vocabulary as V
 from anchorline.operators import claims as C
 from anchorline.schemas import CLAIM
 from anchorline.sources import claims_feed as feed
+from anchorline.sources import tables as files
 from anchorline.sources.staging import Staging
 from builders import CLAIM_SIDE, LATE, START, action, award, claim, claims, day, ledger, rollup, values
 
@@ -196,3 +198,46 @@ def test_one_read_of_the_old_rows_the_rollup_and_the_ledger(spark, tmp_path):
     for name in inputs:
         assert len(re.findall(rf"FileScan[^\n]*{tmp_path.name}/{name}", plans)) == 1, name
     assert values(out, "doge_award_id", "usaspending_found") == [("A1", True)]
+
+
+def test_previous_rows_kept_by_key_are_not_moved(spark, tmp_path):
+    """The match reads the stored buckets without an exchange, in a session told of them."""
+    fresh = dict(usaspending_found=True, checked_date=date(2026, 8, 19))
+    before = [
+        claim("A1", latest_description="first", **fresh), claim("A1", latest_description="last", **fresh),
+        claim("A1", when=None, latest_description="undated", **fresh),
+        claim("A1", latest_description="too old", usaspending_found=True, checked_date=date(2020, 1, 1)),
+        claim("", latest_description="nameless", **fresh),
+    ]
+    rows = claims(spark, before).coalesce(1).withColumn("position", F.monotonically_increasing_id())
+    kept = C.keyed_claims(rows)
+    assert values(kept, "claim_key", "latest_description") == [
+        ("A1|", "undated"), ("A1|2025-03-04", "last"), ("A1|2025-03-04", "too old"),
+    ]
+    path = str(tmp_path / "keyed")
+    files.write_bucketed(kept, path, "claim_key", buckets=8)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("anchorline_")]:
+        spark.sql(f"DROP TABLE {name}")  # as in a new session; the folder stays
+    stored = files.read_bucketed(spark, path, C.KEYED_CLAIM, "claim_key", buckets=8)
+    plans = []
+
+    class Recording(Staging):
+        def table(self, df, name):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().table(df, name)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = C.refresh_claims(
+            claims(spark, [claim("A1"), claim("A1", when=None), claim("B1"), claim("")]).select(CLAIM_SIDE),
+            stored, ledger(spark, []), rollup(spark, []), start=START, today=LATE,
+            position="position", staging=Recording(spark),
+        )
+        got = values(out, "doge_award_id", "latest_description", "checked_date")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    day_before = date(2026, 8, 19)
+    assert got == [("", "", LATE), ("A1", "last", day_before), ("A1", "undated", day_before), ("B1", "", LATE)]
+    assert "SelectedBucketsCount: 8 out of 8" in plans[0]
+    # One exchange, of the claims: the stored rows are grouped and joined in their buckets.
+    assert plans[0].count("Exchange") == 1 and "Exchange hashpartitioning(claim_key" in plans[0]

@@ -78,9 +78,10 @@ def parts(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def land_tables(t: Tables) -> None:
-    """Write every derived table and both parts."""
+    """Write every derived table, both parts and the previous run's claims."""
     t.land_all()
     parts(t)
+    existing_claims(t)
 
 
 def overrides(t: Tables) -> DataFrame:
@@ -810,6 +811,16 @@ def existing(t: Tables, claims: DataFrame) -> DataFrame:
     )
 
 
+def existing_claims(t: Tables) -> DataFrame:
+    """The previous run's rows as that run has kept them: by key."""
+
+    def keep(path: str) -> None:
+        rows = C.keyed_claims(existing(t, claims_with_key(t).drop("position")))
+        files.write_bucketed(rows, path, "claim_key")
+
+    return files.read_bucketed(t.spark, t.land("existing_claims", keep), C.KEYED_CLAIM, "claim_key")
+
+
 _CLAIM = ", ".join(Q.CLAIM_COLUMNS)
 
 
@@ -875,7 +886,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     staging = Staging(t.spark)
     claims = claims_with_key(t).drop("position")
-    before = staging.table(existing(t, claims), "existing")
+    before = existing_claims(t)
     rows = C.refresh_claims(
         claims, before, t.ledger(), t.rollup(), start=START, today=TODAY, position="position",
         staging=staging,
