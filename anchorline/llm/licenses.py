@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 from anchorline.llm.common import row_key, text_of
 from anchorline.sources.staging import Staging
 
-#: Cosines from which a line, or a whole file, has the licence of a template.
+#: Cosines from which a line, a whole file, or one that is named as a licence, has the licence
+#: of a template.
 HEADER = 0.7
 FILE = 0.5
+NAMED = 0.4
+#: What a licence file that is like no template gives itself and its folder.
+UNKNOWN = "unknown"
 #: What a word is. Numbers keep their points, so that versions are words.
 TOKEN = r"[\p{L}0-9]+(?:\.[0-9]+)*"
 #: Names of licence files.
@@ -111,7 +115,7 @@ class Weights:
         for vector in self.vectors:
             left = 1.0
             for word, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
-                if left < min(HEADER, FILE) ** 2:
+                if left < min(HEADER, FILE, NAMED) ** 2:
                     break
                 out.add(word)
                 left -= weight**2
@@ -217,7 +221,9 @@ def scan(files: DataFrame, staging: Staging) -> DataFrame:
 
     `how` is header (a line says it), file (the whole file does), inherited, or none. Of
     several lines the closest counts, the first of equals; of several licence files in a
-    directory the closest, then the smallest path. Null texts are empty, null paths are
+    directory the closest, then the smallest path. A file named as a licence has that of its
+    whole text from NAMED on, else that of its header; if it has words and neither, its licence
+    is `unknown`, with score 0, and so is what its folder inherits. Null texts are empty, null paths are
     files of the root without a name. Rows equal in id and text but not in path have equal
     own licences; repeated rows repeat. An empty table gives no row. Columns other than
     doc_id, path and text are not read.
@@ -244,16 +250,22 @@ def scan(files: DataFrame, staging: Staging) -> DataFrame:
     own = staging.table(own.withColumnsRenamed({k: f"own_{k}" for k in KEY}), "own")
     match = [F.col(k).eqNullSafe(F.col(f"own_{k}")) for k in KEY]
     named = F.col("path").rlike(FILE_NAMES)
-    is_file = (F.col("whole.score") >= FILE) | (named & (F.col("whole.score") > 0))
+    known = (F.col("whole.score") >= FILE) | (named & (F.col("whole.score") >= NAMED))
+    unknown = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("order"), F.lit(UNKNOWN).alias("license"))
+    says_other = named & F.lower("text").rlike(TOKEN)
     judged = staging.table(
-        files.drop("text")
+        files.withColumn("says_other", says_other)
+        .drop("text")
         .join(own, match, "left")
         .select(
             "doc_id",
             "path",
             directory(F.col("path")).alias("folder"),
             "header",
-            F.when(is_file, F.col("whole")).alias("whole"),
+            F.when(known, F.col("whole"))
+            .when(named & F.col("header").isNotNull(), F.col("header"))
+            .when(F.col("says_other"), unknown)
+            .alias("whole"),
         ),
         "judged",
     )
@@ -347,10 +359,17 @@ told AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line) = 1
 ), judged AS (
   SELECT f.doc_id, f.path, regexp_replace(f.path, '(^|/)[^/]*$', '') AS folder,
-         h.license AS header, h.score AS header_score, w.license AS whole, w.score AS whole_score
-  FROM files f LEFT JOIN headers h ON h.doc_id = f.doc_id
-  LEFT JOIN best w ON w.doc_id = f.doc_id AND w.line = -1 AND (
-    w.score >= {FILE} OR w.score > 0 AND regexp_matches(f.path, '{FILE_NAMES}'))
+         h.license AS header, h.score AS header_score,
+         CASE WHEN w.score >= {FILE} OR named AND w.score >= {NAMED} THEN w.license
+              WHEN named AND h.score IS NOT NULL THEN h.license
+              WHEN named AND says THEN '{UNKNOWN}' END AS whole,
+         CASE WHEN w.score >= {FILE} OR named AND w.score >= {NAMED} THEN w.score
+              WHEN named AND h.score IS NOT NULL THEN h.score
+              WHEN named AND says THEN 0.0 END AS whole_score
+  FROM (SELECT *, regexp_matches(path, '{FILE_NAMES}') AS named,
+               len({words("text")}) > 0 AS says FROM files) f
+  LEFT JOIN headers h ON h.doc_id = f.doc_id
+  LEFT JOIN best w ON w.doc_id = f.doc_id AND w.line = -1
 ), given AS (
   SELECT folder AS source, whole AS license FROM judged WHERE whole IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY folder ORDER BY whole_score DESC, path, whole) = 1

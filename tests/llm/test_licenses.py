@@ -50,7 +50,11 @@ def brute(rows):
         header = max(((s, -k, name) for k, line in enumerate(t.split("\n")) for s, name in [best(line)]))
         whole = best(t)
         out[i] = [header[2] if header[0] >= licenses.HEADER else None, None]
-        if whole[0] >= licenses.FILE or re.search(licenses.FILE_NAMES, p) and whole[0] > 0:
+        named = re.search(licenses.FILE_NAMES, p)
+        if whole[0] < licenses.FILE and not (named and whole[0] >= licenses.NAMED):
+            says = named and words(t)
+            whole = (header[0], header[2]) if named and out[i][0] else (0.0, "unknown") if says else None
+        if whole:
             folder = p.rpartition("/")[0]
             given[folder] = min(given.get(folder, (1, "", "")), (-whole[0], p, whole[1]))
             out[i][1] = whole[1]
@@ -116,3 +120,18 @@ def test_odd_rows(spark, staging):
 def test_plan_is_native(spark):
     plan = QUERIES["op7_licenses"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapIn" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_licence_file_of_another_kind_is_unknown_and_stops_inheritance(spark, staging):
+    rows = [
+        (1, "LICENSE", MIT), (2, "x.py", "code"), (3, "own/LICENSE", "Copyright Acme Corp. All rights reserved. "
+         "No part of this software may be copied, and the source is not to be distributed without our consent."),
+        (4, "own/y.py", "code"), (5, "own/deep/z.py", "code"), (6, "blank/COPYING", " \n"), (7, "blank/w.py", "code"),
+        (8, "long/LICENSE", "\n".join([MIT] + [f"words of clause {i} about other things" for i in range(60)])),
+        (9, "long/v.py", "code"),
+    ]
+    got = {r.doc_id: (r.license, r.how) for r in scan(spark, staging, rows).collect()}
+    assert got == brute(rows)
+    assert got[3] == ("unknown", "file") and got[4] == got[5] == ("unknown", "inherited")
+    assert got[2] == got[7] == ("MIT", "inherited")  # a blank file says nothing
+    assert got[9] == ("MIT", "inherited")
