@@ -43,8 +43,9 @@ _KINDS = {
 
 
 def differences(spark: SparkSession, con, name: str, build, sql: str, folder: str) -> dict:
-    """Row counts, column types that differ, and rows on one side only."""
+    """The plan, row counts, column types that differ, and rows on one side only."""
     frame = build(spark, folder)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
     found = _counted(frame.columns, [tuple(r) for r in frame.collect()])
     relation = con.sql(sql)
     wanted_types = {n: str(t) for n, t in zip(relation.columns, relation.types)}
@@ -52,6 +53,7 @@ def differences(spark: SparkSession, con, name: str, build, sql: str, folder: st
     kinds = {n: _KINDS.get(t, t) for n, t in frame.dtypes}
     return {
         "name": name,
+        "plan": plan,
         "rows": sum(found.values()),
         "oracle_rows": sum(wanted.values()),
         "types": {
