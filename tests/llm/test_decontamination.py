@@ -1,3 +1,6 @@
+from random import Random
+
+import pyarrow as pa
 from llm_rows import LONG, ODD, documents
 
 from anchorline.llm import decontamination
@@ -94,7 +97,63 @@ def test_literal_copies_of_numeric_short_and_capital_items(spark, staging):
         (4, "What is 18 * 29 + 46? Nobody who wrote of Hamlet knows."),
     ]
     got = found(spark, staging, docs, [(1, numeric), (2, short), (3, ITEM)])
-    assert set(got) == {(1, 1), (2, 2), (3, 3)}
+    # The arithmetic has the skeleton of the item; the name alone is no copy of the question.
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1)}
+
+
+def test_short_items_are_found_as_sentences_of_longer_texts(spark, staging):
+    items = [(1, "What is 17 * 23 + 45?"), (2, "Who wrote Hamlet?"), (3, "Add 5 to 5."), (4, "Why?")]
+    docs = [
+        (1, "Question: Who wrote Hamlet? Answer: someone."),
+        (2, "Then: what is 18 * 29 + 46 ? Nobody said."),
+        (3, "What is 18 - 29 / 46?"),  # other signs
+        (4, "What is 18 * 18 + 46?"),  # one value for two of the item
+        (5, "We asked who wrote Hamlet and why. What is 17 * 23 + 45 in words?"),
+        (6, "Who wrote hamlet ? Add 6 to 7. Why? Why?"),
+        (7, "Add 6 to 6."),
+        (8, "Why?"),
+        (None, "Who wrote Hamlet?"),
+    ]
+    got = found(spark, staging, docs, items)
+    assert set(got) == {(1, 2), (2, 1), (6, 2), (7, 3), (8, 4), (None, 2), (5, 1)}
+    assert got[2, 1] == (1, 1)
+    texts = [(k, f"filler number {k} of a text. " * 40 + "Who wrote Hamlet? " + "more of it. " * 9) for k in range(50)]
+    assert set(found(spark, staging, texts, items)) == {(k, 2) for k in range(50)}
+
+
+def test_sentences_by_hand(spark):
+    """Hashes of sentences are equal exactly where words, or skeletons, spelt out are."""
+    from anchorline.llm.common import Known
+
+    words = ["who", "wrote", "the", "sum", "3", "40", "kg", "is", "of", "+", "-"]
+    draw = Random(6)
+    made = [
+        " ".join(draw.choice(words) for _ in range(draw.randint(1, 8))) + draw.choice([".", "?", " ?"]) for _ in range(500)
+    ]
+    texts = [" ".join(made[i : i + 5]) for i in range(0, 500, 5)]
+    rows = decontamination.sentence_rows(
+        pa.array(texts), Known(decontamination.word_values), Known(decontamination.sign_values), None
+    )
+    keys = {}
+    for family, a, b in zip(rows["family"], rows["hash_a"], rows["hash_b"], strict=True):
+        keys.setdefault(int(family), set()).add((int(a), int(b)))
+
+    def types(text):
+        out, before = [], ""
+        for w in (w.strip(".?") for w in text.split()):
+            if w:
+                out.append("#" if w in ("3", "40") else "U" if w == "kg" and before in ("3", "40") else w)
+                before = w if w not in "+-" else before
+        return out
+
+    plain = {tuple(w for w in (x.strip(".?+-") for x in s.split()) if w) for s in made}
+    assert len(keys[0]) == len({s for s in plain if len(s) in (3, 4)})
+    skeletons = set()
+    for s in made:
+        kinds = types(s)
+        if sum(k in "#U" for k in kinds) >= 2 and sum(k not in "#U+-" for k in kinds) >= 2:
+            skeletons.add(tuple(kinds))
+    assert len(keys[1]) == len(skeletons)
 
 
 def test_runs_pass_over_places_without_a_template_window(spark, staging):
