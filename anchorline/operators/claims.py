@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from anchorline import vocabulary as V
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
+from anchorline.operators.filters import among
 from anchorline.schemas import CLAIM, conform
 from anchorline.sources.ledger import rollup_facts
 from anchorline.sources.staging import Staging
@@ -40,8 +41,10 @@ def award_facts(rollup: DataFrame) -> DataFrame:
     )
 
 
-#: Awards asked about, up to which their ids go to every task that reads the ledger.
+#: Awards asked about, up to which their ids go to every task that reads the ledger; beyond,
+#: the slots that they fall into do, of so many.
 ASKED_EVERYWHERE = 500_000
+ASKED_SLOTS = 1 << 22
 
 
 def claim_facts(
@@ -55,12 +58,14 @@ def claim_facts(
 
     The ledger is classified and reduced to a row per award and task before anything
     is shuffled, so its texts do not travel. Where `awards` is few enough its ids
-    limit the ledger first; the aggregate is the same without.
+    limit the ledger first, else their slots do; the aggregate is the same without.
     """
     asked = awards.select("internal_award_id", F.col("award_type").alias("asked_type"))
-    if asked.limit(asked_everywhere + 1).count() <= asked_everywhere:
-        ids = asked.select(F.col("internal_award_id").alias("award_id"))
+    ids = asked.select(F.col("internal_award_id").alias("award_id"))
+    if ids.limit(asked_everywhere + 1).count() <= asked_everywhere:
         ledger = ledger.join(F.broadcast(ids), "award_id", "left_semi")
+    else:
+        ledger = among(ledger, ids, ["award_id"], slots=ASKED_SLOTS)
     rows = ledger.select(
         F.col("award_id").alias("internal_award_id"),
         "action_date",
@@ -70,21 +75,26 @@ def claim_facts(
         "ingest_seq",
     )
     latest = F.struct("action_date", "modification_number", -F.col("ingest_seq"))
-    # The award's type is the same for all its rows, so it can decide after the aggregate.
-    by_code, by_text = (
-        P.is_explicit_termination(start, award_type=F.lit(kind), action_type=S.code("action_type"))
-        for kind in (V.CODED_AWARD_TYPES[0], "")
+    # The award's type is the same for all its rows, so it can decide after the aggregate. The
+    # text decides for either type and is looked at once.
+    by_code = (
+        P.in_window("action_date", start)
+        & P.has_standalone_code(F.lit(V.CODED_AWARD_TYPES[0]), S.code("action_type"))
+        & ~P.is_cause("description")
+    )
+    by_text = P.is_explicit_termination(
+        start, award_type=F.lit(""), action_type=S.code("action_type")
     )
     facts = rows.groupBy("internal_award_id").agg(
-        F.bool_or(by_code).alias("if_coded"),
-        F.bool_or(by_text).alias("if_not"),
+        F.bool_or(by_code).alias("by_code"),
+        F.bool_or(by_text).alias("by_text"),
         F.bool_or(P.is_vacatur("description")).alias("termination_vacated"),
         F.max_by(F.struct("action_date", "action_type", "description"), latest).alias("last"),
     )
     coded = F.col("asked_type").isin(*V.CODED_AWARD_TYPES)
     return facts.join(asked, "internal_award_id").select(
         "internal_award_id",
-        F.when(coded, F.col("if_coded")).otherwise(F.col("if_not")).alias("has_explicit_termination"),
+        (F.col("by_text") | (coded & F.col("by_code"))).alias("has_explicit_termination"),
         "termination_vacated",
         F.col("last.action_date").alias("latest_action_date"),
         F.col("last.action_type").alias("latest_action_type"),

@@ -62,18 +62,22 @@ def count_mismatches(rows: DataFrame, manifest: DataFrame, slice_column: str) ->
 
 
 def page_problems(pages: DataFrame, items: str) -> DataFrame:
-    """Pages of a landed feed that are missing, unsuccessful, empty, landed twice or unexpected.
+    """Pages of a landed feed that are missing, unsuccessful, empty, landed twice, unexpected or
+    unreadable. A line that does not parse has no page number.
 
     The first page says how many there are; without that, or where pages disagree about it,
     the feed is unusable. `items` is the field of the result that holds the page's claims.
     """
     count = F.coalesce(F.size(f"result.{items}"), F.lit(0))
+    if "unreadable" not in pages.columns:
+        pages = pages.withColumn("unreadable", F.lit(None).cast("string"))
     per_page = pages.groupBy("page").agg(
         F.bool_and(F.coalesce("success", F.lit(False))).alias("ok"),
         F.min(count).alias("fewest"),
         F.max("meta.pages").alias("advertised"),
         F.min("meta.pages").alias("least"),
         F.count(F.lit(1)).alias("documents"),
+        F.count("unreadable").alias("damaged"),
     )
     advertised = per_page.agg(
         F.coalesce(F.max(F.when(F.col("page") == 1, F.col("advertised"))), F.lit(0)).alias("pages"),
@@ -90,7 +94,8 @@ def page_problems(pages: DataFrame, items: str) -> DataFrame:
     wanted = advertised.where(usable).select(F.explode(F.sequence(F.lit(1), "pages")).alias("wanted"))
     seen = wanted.join(per_page, F.col("wanted") == F.col("page"), "full_outer").select(
         F.coalesce("wanted", "page").alias("page"),
-        F.when(F.col("wanted").isNull(), "unexpected")
+        F.when(F.col("damaged") > 0, "unreadable")
+        .when(F.col("wanted").isNull(), "unexpected")
         .when(F.col("ok").isNull(), "missing")
         .when(F.col("documents") > 1, "duplicate")
         .when(~F.col("ok"), "unsuccessful")

@@ -32,8 +32,10 @@ GRANT_PAGE = _page_schema("grants", "agency recipient value savings date link")
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed pages of one kind, one document per line."""
-    return spark.read.schema(schema).json(path)
+    """Landed pages of one kind, one document per line. A line that is none of the schema is kept
+    as it came in `unreadable`, for the guard to see."""
+    columns = T.StructType([*schema.fields, T.StructField("unreadable", _TEXT)])
+    return spark.read.schema(columns).option("columnNameOfCorruptRecord", "unreadable").json(path)
 
 
 def _trimmed(name: str):

@@ -241,3 +241,21 @@ def test_previous_rows_kept_by_key_are_not_moved(spark, tmp_path):
     assert "SelectedBucketsCount: 8 out of 8" in plans[0]
     # One exchange, of the claims: the stored rows are grouped and joined in their buckets.
     assert plans[0].count("Exchange") == 1 and "Exchange hashpartitioning(claim_key" in plans[0]
+
+
+def test_asked_awards_limit_the_ledger_on_both_sides_of_the_bound(spark):
+    book = ledger(spark, [
+        action(n, "2025-06-01", award=n % 50, piid=f"P{n % 50}", generated="", code="F" if n % 3 else "",
+               text="termination for convenience" if n % 7 == 0 else "termination for cause" if n % 5 == 0 else "x")
+        for n in range(400)
+    ])
+    awards = spark.createDataFrame(
+        [(n, kind) for n, kind in zip(range(0, 60, 2), ["contract", "grant", "idv", ""] * 15, strict=False)],
+        "internal_award_id long, award_type string",
+    )
+    few = C.claim_facts(book, awards, start=START)
+    many = C.claim_facts(book, awards, start=START, asked_everywhere=3)
+    assert values(few) == values(many) and few.count() == 25
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (few, many)]
+    assert "_slot" not in plans[0] and "_slot" in plans[1]
+    assert all("LeftSemi" in plan for plan in plans)

@@ -134,6 +134,17 @@ def test_page_completeness(spark, documents, problems):
     assert values(G.page_problems(pages(spark, *documents), "contracts")) == problems
 
 
+def test_lines_that_do_not_parse_are_unreadable(spark, tmp_path):
+    good = '{"success": true, "page": 1, "meta": {"pages": 2}, "result": {"contracts": [{"agency": "NASA"}]}}'
+    (tmp_path / "pages.json").write_text("\n".join([good, good.replace('"page": 1', '"page": 2')[:-9], "not json"]))
+    landed = feed.read_pages(spark, str(tmp_path / "pages.json"), feed.CONTRACT_PAGE)
+    assert values(G.page_problems(landed, "contracts")) == [(2, "missing"), (None, "unreadable")]
+    assert feed.contract_claims(landed).count() == 1
+    (tmp_path / "pages.json").write_text("\n".join([good, good.replace('"page": 1, "meta": {"pages": 2}', '"page": 2, "meta": 7')]))
+    landed = feed.read_pages(spark, str(tmp_path / "pages.json"), feed.CONTRACT_PAGE)
+    assert values(G.page_problems(landed, "contracts")) == [(2, "unreadable")]
+
+
 def test_staging_uses_the_session_folder(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -951,12 +951,13 @@ def _(t: Tables) -> DataFrame:
                 WHEN p % 3 = 0 THEN 'unsuccessful' WHEN listed = 0 THEN 'empty' END AS problem
             FROM range(1, (SELECT last FROM last) + 3) pages(p) LEFT JOIN seen s ON s.page = p)""",
         select="""SELECT * FROM judged WHERE problem IS NOT NULL
-            UNION ALL SELECT CAST(last + 3 AS INTEGER), 'unexpected' FROM last""",
+            UNION ALL SELECT CAST(last + 3 AS INTEGER), 'unexpected' FROM last
+            UNION ALL SELECT CAST(NULL AS INTEGER), 'unreadable' FROM last""",
     ),
 )
 def _(t: Tables) -> DataFrame:
     """A feed that advertises two pages too many, whose every third page reports failure, with
-    its first page landed twice and one page beyond the advertised ones."""
+    its first page landed twice, one page beyond the advertised ones, and one cut off halfway."""
     items = t.claim_items().withColumn("page", (F.col("o_orderkey") / T.PAGE_SIZE).cast("int") + 1)
     last = items.agg(F.max("page").alias("last")).select((F.col("last") + 2).alias("pages")).scalar()
     entry = F.when(F.col("agency") == "Department of Energy", F.struct("agency"))
@@ -966,7 +967,13 @@ def _(t: Tables) -> DataFrame:
     ).withColumn("meta", F.struct(last.alias("pages")))
     first = pages.where("page = 1")
     beyond = first.withColumn("page", F.col("meta.pages") + 1)
-    return G.page_problems(pages.unionByName(first).unionByName(beyond), "contracts")
+    lines = pages.unionByName(first).unionByName(beyond).select(F.to_json(F.struct("*")).alias("value"))
+    half = first.select(F.to_json(F.struct("*")).alias("value")).select(
+        F.expr("substring(value, 1, length(value) DIV 2)").alias("value")
+    )
+    path = Staging(t.spark).path("damaged")
+    lines.unionByName(half).write.text(path)
+    return G.page_problems(feed.read_pages(t.spark, path, feed.CONTRACT_PAGE), "contracts")
 
 
 @query(
