@@ -12,15 +12,18 @@ from conftest import SMALL
 
 def test_everything_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert len(corpus_pipeline.STAGES) == 5
 
 
+BLANKS = " \t\r\x0b\x0c"
+
+
 def brute_lines(rows):
     """Three-line windows by a dictionary, documents by id, lines in order."""
     first, out = {}, []
-    full = {i: [(k, x.strip(" ")) for k, x in enumerate(t.split("\n")) if x.strip(" ")] for i, t in rows}
+    full = {i: [(k, x.strip(BLANKS)) for k, x in enumerate(t.split("\n")) if x.strip(BLANKS)] for i, t in rows}
     windows = {
         i: [tuple(x for _, x in lines[a : a + 3]) for a in range(len(lines) - 2)]
         for i, lines in full.items()
