@@ -1,9 +1,12 @@
-"""Steps that large ledgers pass once: texts looked at once, large tables read where they lie."""
+"""Steps that large ledgers pass once: texts looked at once, large tables read where they lie, and
+little of them sent to the driver."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from anchorline.functions import predicates as P
-from anchorline.operators import signals, sweeps
+from anchorline.functions import scalars as S
+from anchorline.operators import filters, signals, sweeps
 from anchorline.sources import ledger as L
 from conftest import SMALL
 from workload import tables as T
@@ -65,3 +68,41 @@ def test_large_tables_are_read_where_they_lie(spark, monkeypatch):
     monkeypatch.setattr(T, "BYTES_PER_CORE", 1)
     assert "Repartition" not in optimized(t.spread("lineitem"))
     assert t.spread("lineitem").count() == t.read("lineitem").count()
+
+
+def test_slots_reach_the_driver_as_bits(spark, monkeypatch):
+    """However many keys are wanted, the driver collects one row of 64 slots, not one of each."""
+    sent = []
+    monkeypatch.setattr(filters.F, "broadcast", lambda df: sent.append(df) or df)
+    wanted = spark.range(0, 300_000, 3)
+    kept = filters.among(spark.range(300_000), wanted, ["id"])
+    assert sent[0].count() <= filters.SLOTS // 64
+    assert kept.join(wanted, "id", "left_semi").count() == 100_000
+    assert 100_000 < kept.count() < 125_000  # a tenth of the slots are used
+
+
+@pytest.mark.parametrize("slots", [1, 63, 64, 65, 1000, filters.SLOTS])
+def test_rows_of_used_slots_pass_once(spark, slots):
+    wanted = spark.createDataFrame(
+        [(n * n, None if n % 7 == 0 else f"k{n}") for n in range(40)] * 2, "a long, b string"
+    )
+    rows = wanted.unionByName(
+        spark.createDataFrame([(-n, f"k{n}") for n in range(300)] + [(None, None)] * 2, wanted.schema)
+    )
+    slot = filters.slot(["a", "b"], slots)
+    used = {r[0] for r in wanted.select(slot).collect()}
+    expected = sorted(map(str, (r[1:] for r in rows.select(slot, "a", "b").collect() if r[0] in used)))
+    kept = filters.among(rows, wanted, ["a", "b"], slots=slots)
+    assert sorted(str(tuple(r)) for r in kept.collect()) == expected
+    assert kept.columns == ["a", "b"]
+
+
+def test_missing_award_types_are_not_lower_cased(spark, monkeypatch):
+    """Of a missing cell there is no text: with a constant one, as sweeps have, Spark would lower it
+    in the driver, where the first call fills the heap."""
+    lowered, lower = [], F.lower
+    monkeypatch.setattr(S.F, "lower", lambda c: lowered.append(c) or lower(c))
+    for missing in (F.lit(None).cast("string"), F.when(F.col("id") > 5, "idv_b")):
+        category = S.award_category(missing)
+        row = spark.range(1).select(lowered[-1].alias("text"), category.alias("category")).first()
+        assert row.text is None and row.category == ""
