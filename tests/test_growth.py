@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from anchorline.functions import predicates as P
 from anchorline.functions import scalars as S
 from anchorline.operators import filters, signals, sweeps
+from anchorline.operators import guards as G
+from anchorline.plans import doors, publish
 from anchorline.sources import ledger as L
+from anchorline.sources.overrides import RULINGS
+from builders import LATE, action, ledger, rollup
+from builders import START as FIRST
 from conftest import SMALL
 from workload import tables as T
 from workload.tables import START, TODAY, Tables
@@ -106,3 +111,27 @@ def test_missing_award_types_are_not_lower_cased(spark, monkeypatch):
         category = S.award_category(missing)
         row = spark.range(1).select(lowered[-1].alias("text"), category.alias("category")).first()
         assert row.text is None and row.category == ""
+
+
+def test_counts_of_many_awards_send_the_driver_few_rows(spark, staging, monkeypatch):
+    """Both doors, the merge, its rulings and the rows the guard counts, over 20,000 awards that all
+    stand: what is broadcast on the way does not grow with them."""
+    sent = []
+    monkeypatch.setattr(filters.F, "broadcast", lambda df: sent.append(df) or df)
+    text = "Terminated for convenience of the buyer"
+    book = staging.table(ledger(spark, [
+        action(n, "2026-06-01", award=n, piid=f"P{n}", generated=f"CONT_AWD_P{n}", code="F", text=text)
+        for n in range(20_000)
+    ]), "book")
+    facts = rollup(spark, [])
+    parts = (
+        doors.recency_part(book, facts, start=FIRST, today=LATE, staging=staging),
+        doors.depth_part(book, facts, start=FIRST, staging=staging),
+    )
+    rulings = spark.createDataFrame([("P5", "descoped"), ("CONT_AWD_P6", "vacated")], RULINGS)
+    made = publish.prepare_terminations(
+        *[staging.table(part, "part") for part in parts], rulings, staging=staging
+    )
+    found = G.row_counts({"terminations": made.terminations, "descoped": made.descoped})
+    assert sorted(tuple(r) for r in found.collect()) == [("descoped", 1, True), ("terminations", 19_998, True)]
+    assert len(sent) > 2 and max(df.count() for df in sent) <= filters.SLOTS // 64
